@@ -17,6 +17,7 @@ then shipment id. Two layouts give the same numbers:
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -40,24 +41,30 @@ def largest_key(schedule: DataFrame, as_of: str | date) -> tuple[int, int]:
     rows, so the raw count is an upper bound, and it needs a scan of four columns and
     a shuffle of one row per key and task.
     """
-    sizes = future_events(schedule, as_of).groupBy(*STOCK_KEY).count()
+    sizes = future_events(schedule, as_of).dropna(subset=STOCK_KEY).groupBy(*STOCK_KEY).count()
     found = sizes.agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
     return found["largest"] or 0, found["total"] or 0
 
 
 def choose_layout(
-    schedule: DataFrame, as_of: str | date, layout: str = "auto", max_events_per_key: int = MAX_EVENTS_PER_KEY
+    schedule: DataFrame,
+    as_of: str | date,
+    layout: str = "auto",
+    max_events_per_key: int = MAX_EVENTS_PER_KEY,
 ) -> int:
     """The number of blocks to lay the events out in; 0 stands for one group per key."""
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}: use one of {LAYOUTS}")
     if layout == "by_key":
         return 0
+    # a schedule that is small as a whole has no large key; Parquet counts from its footers
+    if layout == "auto" and schedule.count() <= max_events_per_key:
+        return 0
     largest, total = largest_key(schedule, as_of)
     if layout == "auto" and largest <= max_events_per_key:
         return 0
     # twice as many blocks as the limit asks for, as range bounds come from a sample
-    return max(2, 2 * -(-total // max_events_per_key))
+    return max(2, 2 * math.ceil(total / max_events_per_key))
 
 
 def running_totals(events: DataFrame, inventory: DataFrame, blocks: int = 0) -> DataFrame:

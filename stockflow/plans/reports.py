@@ -42,7 +42,11 @@ def readiness_by_month(readiness: DataFrame) -> DataFrame:
 
 
 def attention_orders(readiness: DataFrame) -> DataFrame:
-    """Orders that are not simply ready, earliest and largest gap first."""
+    """Orders that are not simply ready, earliest and largest gap first.
+
+    The shipment id ends the order, so that Spark can split a day with very many orders
+    over several sort tasks.
+    """
     return (
         readiness.filter(F.col("readiness_status").isin(contract.AT_RISK, contract.SHORT, contract.WAITING))
         .select(
@@ -55,7 +59,7 @@ def attention_orders(readiness: DataFrame) -> DataFrame:
             "readiness_status",
             "earliest_available_date",
         )
-        .orderBy(F.col("scheduled_date").asc(), F.col("missing_pallets").desc())
+        .orderBy(F.col("scheduled_date").asc(), F.col("missing_pallets").desc(), "shipment_id")
     )
 
 
