@@ -57,14 +57,10 @@ def cover_dates(projected: DataFrame, policy: str = NETTED) -> DataFrame:
         days = projected.select(*place).distinct().join(days, STOCK_KEY)
 
     orders = projected.filter(F.col("shipment_type") == OUTBOUND).withColumn("_need", needed_level(policy))
-    covering = F.filter(
-        "_arrivals", lambda a: (a["day"] > F.col("scheduled_date")) & (a["level"] >= F.col("_need"))
-    )
+    first_cover = """array_min(transform(
+        filter(_arrivals, a -> a.day > scheduled_date AND a.level >= _need), a -> a.day))"""
     return (
         orders.join(days, place, "left")
-        .withColumn(
-            "earliest_inbound_date",
-            F.when(F.col("missing_pallets") > 0, F.array_min(F.transform(covering, lambda a: a["day"]))),
-        )
+        .withColumn("earliest_inbound_date", F.expr(f"CASE WHEN missing_pallets > 0 THEN {first_cover} END"))
         .drop("_arrivals", "_need")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,7 +22,7 @@ def dedup(df: DataFrame, key: str, keep_null_keys: bool = False) -> DataFrame:
     """
     if keep_null_keys:
         return dedup(df.filter(F.col(key).isNotNull()), key).unionByName(df.filter(F.col(key).isNull()))
-    order = [F.col(c).asc_nulls_last() for c in df.columns if c != key]
-    group = Window.partitionBy("_hash", key).orderBy(*order)
-    ranked = df.withColumn("_hash", F.xxhash64(key)).withColumn("_rank", F.row_number().over(group))
-    return ranked.filter(F.col("_rank") == 1).drop("_hash", "_rank")
+    order = ", ".join(f"{name} ASC NULLS LAST" for name in df.columns if name != key)
+    rank = f"row_number() OVER (PARTITION BY _hash, {key} ORDER BY {order})"
+    ranked = df.withColumn("_hash", F.xxhash64(key)).withColumn("_rank", F.expr(rank))
+    return ranked.filter("_rank = 1").select(*df.columns)

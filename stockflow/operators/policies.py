@@ -14,11 +14,10 @@ sequential loop.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.contract import OUTBOUND
-from stockflow.functions.columns import at_least_zero
 from stockflow.operators.events import with_direction
 
 NETTED = "netted"
@@ -31,28 +30,26 @@ def _check(policy: str) -> None:
         raise ValueError(f"unknown policy {policy!r}: use one of {POLICIES}")
 
 
-def available_before(policy: str) -> Column:
+def available_before(policy: str) -> str:
+    """SQL for the stock an event finds."""
     _check(policy)
-    total_before = F.col("current_inventory") + F.col("prior_net_events")
     if policy == NETTED:
-        return at_least_zero(total_before)
-    return total_before - F.least(F.coalesce("lowest_before", F.lit(0)), F.lit(0))
+        return "greatest(current_inventory + prior_net_events, 0L)"
+    return "current_inventory + prior_net_events - least(coalesce(lowest_before, 0L), 0L)"
 
 
 def project(totals: DataFrame, policy: str = NETTED) -> DataFrame:
     """Add stock before, missing pallets and stock after each event under `policy`."""
-    planned = F.col("planned_pallet_quantity")
-    available = F.col("available_before_order")
+    gap = "greatest(planned_pallet_quantity - available_before_order, 0L)"
     return (
         with_direction(totals)
-        .withColumn("available_before_order", available_before(policy))
-        .withColumn(
-            "missing_pallets",
-            F.when(F.col("shipment_type") == OUTBOUND, at_least_zero(planned - available)).otherwise(
-                F.lit(0).cast("bigint")
-            ),
-        )
-        .withColumn(
-            "projected_inventory_after_order", at_least_zero(available + F.col("signed_quantity"))
+        .withColumn("available_before_order", F.expr(available_before(policy)))
+        .withColumns(
+            {
+                "missing_pallets": F.expr(f"if(shipment_type = '{OUTBOUND}', {gap}, 0L)"),
+                "projected_inventory_after_order": F.expr(
+                    "greatest(available_before_order + signed_quantity, 0L)"
+                ),
+            }
         )
     )

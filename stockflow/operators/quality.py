@@ -1,76 +1,84 @@
-"""Row validation from declared rules, the two-way split, and the quality report."""
+"""Row validation from declared rules, the two-way split, and the quality report.
 
-from __future__ import annotations
+A rule is a SQL condition with a name. Conditions are kept as text, so that they can be
+listed, logged and counted one by one.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow import contract
 
-Rules = dict[str, Column]
+Rules = dict[str, str]
 
 
 def _present(*names: str) -> Rules:
-    return {f"{name}_present": F.col(name).isNotNull() for name in names}
+    return {f"{name}_present": f"{name} IS NOT NULL" for name in names}
 
 
-def shipment_rules() -> Rules:
-    return {
-        **_present("shipment_id", "product_id", "warehouse_id", "scheduled_date"),
-        "planned_in_range": F.col("planned_pallet_quantity").between(
-            contract.MIN_PLANNED, contract.MAX_PALLETS
-        ),
-        "type_known": F.col("shipment_type").isin(*contract.SHIPMENT_TYPES),
-        "status_known": F.col("shipment_status").isin(*contract.SHIPMENT_STATUSES),
-    }
+def _one_of(column: str, values: tuple[str, ...]) -> str:
+    return f"{column} IN ({', '.join(repr(v) for v in values)})"
 
 
-def transaction_rules() -> Rules:
-    return {
-        **_present("transaction_id", "product_id", "warehouse_id", "transaction_date"),
-        # the absolute quantity is limited; between cannot overflow where abs can
-        "quantity_in_range": F.col("pallet_quantity").between(-contract.MAX_PALLETS, contract.MAX_PALLETS),
-        "type_known": F.col("transaction_type").isin(*contract.TRANSACTION_TYPES),
-    }
+SHIPMENT_RULES: Rules = {
+    **_present("shipment_id", "product_id", "warehouse_id", "scheduled_date"),
+    "planned_in_range": f"planned_pallet_quantity BETWEEN {contract.MIN_PLANNED} AND {contract.MAX_PALLETS}",
+    "type_known": _one_of("shipment_type", contract.SHIPMENT_TYPES),
+    "status_known": _one_of("shipment_status", contract.SHIPMENT_STATUSES),
+}
 
+TRANSACTION_RULES: Rules = {
+    **_present("transaction_id", "product_id", "warehouse_id", "transaction_date"),
+    # a limit on the absolute quantity; BETWEEN cannot overflow where abs can
+    "quantity_in_range": f"pallet_quantity BETWEEN -{contract.MAX_PALLETS} AND {contract.MAX_PALLETS}",
+    "type_known": _one_of("transaction_type", contract.TRANSACTION_TYPES),
+}
+
+# Checks for the product table. They are reported; the readiness plans reject no product.
+PRODUCT_RULES: Rules = {
+    **_present("product_id"),
+    "safety_stock_not_negative": "safety_stock_pallets >= 0",
+}
 
-def product_rules() -> Rules:
-    """Checks for the product table. The readiness plans do not reject products."""
-    return {
-        **_present("product_id"),
-        "safety_stock_not_negative": F.col("safety_stock_pallets") >= 0,
-    }
 
+def _all(rules: Rules) -> str:
+    return " AND ".join(f"({rule})" for rule in rules.values())
 
-def holds(rule: Column) -> Column:
-    """A rule that is unknown because of a null counts as broken."""
-    return F.coalesce(rule, F.lit(False))
 
+def _holds(condition: str) -> str:
+    """A condition that is unknown because of a null counts as broken."""
+    return f"coalesce({condition}, false)"
 
-def is_valid(rules: Rules) -> Column:
-    return holds(reduce(lambda a, b: a & b, rules.values()))
+
+def is_valid(rules: Rules) -> str:
+    return _holds(_all(rules))
 
 
 def valid_rows(df: DataFrame, rules: Rules) -> DataFrame:
-    return df.filter(is_valid(rules))
+    """Rows that satisfy all rules.
+
+    A filter drops unknown rows by itself; without the null guard around them, Spark sees
+    which columns can no longer be null and does not test them again in later joins.
+    """
+    return df.filter(_all(rules))
 
 
 def rejected_rows(df: DataFrame, rules: Rules) -> DataFrame:
-    return df.filter(~is_valid(rules))
+    """Rows that break a rule or leave one unknown."""
+    return df.filter(f"NOT {is_valid(rules)}")
 
 
 def quality_report(name: str, raw: DataFrame, deduped: DataFrame, rules: Rules) -> DataFrame:
     """Row counts and the number of broken rules of one table: (dataset, metric, rows)."""
-    valid = is_valid(rules)
     metrics = {
-        "deduplicated": F.count("*"),
-        "valid": F.count_if(valid),
-        "rejected": F.count_if(~valid),
-        **{f"broken_{rule}": F.count_if(~holds(check)) for rule, check in rules.items()},
+        "deduplicated": "count(*)",
+        "valid": f"count_if({is_valid(rules)})",
+        "rejected": f"count_if(NOT {is_valid(rules)})",
+        **{f"broken_{rule}": f"count_if(NOT {_holds(check)})" for rule, check in rules.items()},
     }
-    counted = deduped.agg(*[value.alias(metric) for metric, value in metrics.items()])
+    counted = deduped.agg(*[F.expr(value).alias(metric) for metric, value in metrics.items()])
     lines = counted.unpivot([], list(metrics), "metric", "rows")
     return (
         raw.agg(F.count("*").alias("rows"))

@@ -18,7 +18,7 @@ from stockflow.operators import publish
 from stockflow.operators.balance import current_inventory
 from stockflow.operators.events import future_events
 from stockflow.operators.policies import NETTED
-from stockflow.operators.quality import Rules, is_valid, shipment_rules, transaction_rules
+from stockflow.operators.quality import SHIPMENT_RULES, TRANSACTION_RULES, Rules, is_valid
 from stockflow.operators.sequence import choose_layout, running_totals
 from stockflow.plans.readiness import Horizon, Inputs, readiness_from_totals
 from stockflow.plans.reports import readiness_summary
@@ -39,7 +39,7 @@ def _checked(deduped: DataFrame, rules: Rules, name: str) -> DataFrame:
     """Deduplicated rows with their verdict, written once for both sides of the split."""
     spark = deduped.sparkSession
     path = scratch_path(spark, f"checked-{name}")
-    flagged = deduped.withColumn("is_valid", is_valid(rules))
+    flagged = deduped.withColumn("is_valid", F.expr(is_valid(rules)))
     flagged.write.parquet(path)
     return spark.read.schema(flagged.schema).parquet(path)
 
@@ -73,11 +73,11 @@ def run(inputs: Inputs, folder: str, horizon: Horizon, policy: str = NETTED) ->
 
     publish.publish_table(inputs.products(), f"{folder}/{contract.PRODUCTS}")
 
-    checked = _checked(inputs.deduped_shipments(), shipment_rules(), contract.SHIPMENTS)
+    checked = _checked(inputs.deduped_shipments(), SHIPMENT_RULES, contract.SHIPMENTS)
     publish.publish_schedule(_side(checked, True), f"{folder}/{contract.SHIPMENTS}")
     publish.quarantine(_side(checked, False), f"{folder}/quarantine/shipments")
 
-    checked = _checked(inputs.deduped_transactions(), transaction_rules(), contract.TRANSACTIONS)
+    checked = _checked(inputs.deduped_transactions(), TRANSACTION_RULES, contract.TRANSACTIONS)
     publish.publish_ledger(_side(checked, True), f"{folder}/{contract.TRANSACTIONS}")
     publish.quarantine(_side(checked, False), f"{folder}/quarantine/transactions")
 

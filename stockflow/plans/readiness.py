@@ -16,9 +16,9 @@ from stockflow.operators.dedup import dedup
 from stockflow.operators.events import future_events, with_safety_stock
 from stockflow.operators.policies import CLAMPED, NETTED, project
 from stockflow.operators.quality import (
+    SHIPMENT_RULES,
+    TRANSACTION_RULES,
     rejected_rows,
-    shipment_rules,
-    transaction_rules,
     valid_rows,
 )
 from stockflow.operators.sequence import MAX_EVENTS_PER_KEY, choose_layout, running_totals
@@ -43,16 +43,16 @@ class Inputs:
         return dedup(self.transactions_read, "transaction_id", self.keep_null_keys)
 
     def shipments(self) -> DataFrame:
-        return valid_rows(self.deduped_shipments(), shipment_rules())
+        return valid_rows(self.deduped_shipments(), SHIPMENT_RULES)
 
     def transactions(self) -> DataFrame:
-        return valid_rows(self.deduped_transactions(), transaction_rules())
+        return valid_rows(self.deduped_transactions(), TRANSACTION_RULES)
 
     def rejected_shipments(self) -> DataFrame:
-        return rejected_rows(self.deduped_shipments(), shipment_rules())
+        return rejected_rows(self.deduped_shipments(), SHIPMENT_RULES)
 
     def rejected_transactions(self) -> DataFrame:
-        return rejected_rows(self.deduped_transactions(), transaction_rules())
+        return rejected_rows(self.deduped_transactions(), TRANSACTION_RULES)
 
 
 @dataclass(frozen=True)

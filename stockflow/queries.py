@@ -69,22 +69,22 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         valid = quality.is_valid(rules)
         return deduped.agg(
             F.count("*").alias("deduplicated"),
-            F.count_if(valid).alias("valid"),
-            F.count_if(~valid).alias("rejected"),
+            F.expr(f"count_if({valid})").alias("valid"),
+            F.expr(f"count_if(NOT {valid})").alias("rejected"),
         ).select(F.lit(name).alias("dataset"), "deduplicated", "valid", "rejected")
 
-    return line("shipments", data.deduped_shipments(), quality.shipment_rules()).unionByName(
-        line("transactions", data.deduped_transactions(), quality.transaction_rules())
+    return line("shipments", data.deduped_shipments(), quality.SHIPMENT_RULES).unionByName(
+        line("transactions", data.deduped_transactions(), quality.TRANSACTION_RULES)
     )
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = inputs(spark, sf_dir)
     return (
-        quality.quality_report("products", data.products_read, data.products(), quality.product_rules())
+        quality.quality_report("products", data.products_read, data.products(), quality.PRODUCT_RULES)
         .unionByName(
             quality.quality_report(
-                "shipments", data.shipments_read, data.deduped_shipments(), quality.shipment_rules()
+                "shipments", data.shipments_read, data.deduped_shipments(), quality.SHIPMENT_RULES
             )
         )
         .unionByName(
@@ -92,7 +92,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "transactions",
                 data.transactions_read,
                 data.deduped_transactions(),
-                quality.transaction_rules(),
+                quality.TRANSACTION_RULES,
             )
         )
     )

@@ -14,6 +14,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # recording the Python call site of every column expression doubles the planning time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
