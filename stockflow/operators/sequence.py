@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from stockflow.contract import STOCK_KEY
 from stockflow.operators.events import future_events, stock_moves, with_opening_stock
-from stockflow.session import shared_folder
+from stockflow.session import written
 
 EVENT_ORDER = ["scheduled_date", "event_priority", "shipment_id"]
 LAYOUTS = ("auto", "by_key", "by_block")
@@ -99,13 +99,9 @@ def _frame(keys: list[str], last_row: int):
 
 def _totals_by_block(moves: DataFrame, inventory: DataFrame, blocks: int) -> DataFrame:
     # The bounds of a range partitioning come from a sample and may differ when it is
-    # computed again. The checkpoint fixes which event is in which block.
-    shared_folder(moves.sparkSession)
-    laid_out = (
-        moves.repartitionByRange(blocks, *STOCK_KEY, *EVENT_ORDER)
-        .withColumn("block", F.spark_partition_id())
-        .checkpoint()
-    )
+    # computed again. Writing the table fixes which event is in which block.
+    ranged = moves.repartitionByRange(blocks, *STOCK_KEY, *EVENT_ORDER)
+    laid_out = written(ranged.withColumn("block", F.spark_partition_id()), "event-blocks")
     in_block = ["block", *STOCK_KEY]
     local = (
         laid_out.withColumn("_net", F.sum("signed_quantity").over(_frame(in_block, Window.currentRow)))

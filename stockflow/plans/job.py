@@ -22,7 +22,7 @@ from stockflow.operators.quality import SHIPMENT_RULES, TRANSACTION_RULES, Rules
 from stockflow.operators.sequence import choose_layout, running_totals
 from stockflow.plans.readiness import Horizon, Inputs, readiness_from_totals
 from stockflow.plans.reports import readiness_summary
-from stockflow.session import scratch_path
+from stockflow.session import written
 from stockflow.sources import readers
 
 
@@ -37,11 +37,7 @@ def read_inputs(spark: SparkSession, folder: str, fmt: str = "parquet", keep_nul
 
 def _checked(deduped: DataFrame, rules: Rules, name: str) -> DataFrame:
     """Deduplicated rows with their verdict, written once for both sides of the split."""
-    spark = deduped.sparkSession
-    path = scratch_path(spark, f"checked-{name}")
-    flagged = deduped.withColumn("is_valid", F.expr(is_valid(rules)))
-    flagged.write.parquet(path)
-    return spark.read.schema(flagged.schema).parquet(path)
+    return written(deduped.withColumn("is_valid", F.expr(is_valid(rules))), f"checked-{name}")
 
 
 def _side(checked: DataFrame, valid: bool) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are designed for. AQE sizes the reduce side, splits skewed
 # joins and turns a join into a broadcast only after it has seen the real size.
@@ -52,3 +52,15 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the shared folder, read back.
+
+    The rows are fixed from here on and survive the loss of executors. Unlike a
+    checkpoint, the plan above is computed once and later steps read only the columns
+    they need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
