@@ -18,6 +18,15 @@ from stockflow.functions.columns import as_date, draw, pick
 # Fixed values of the generated tables.
 CATEGORIES = ["Beverage", "Food", "Household", "Paper", "Personal Care"]
 PACKAGING = ["Cases", "Drums", "Bags", "Cartons"]
+UNITS_FIRST, UNITS_STEP, UNITS_KINDS = 36, 12, 5
+AREAS = 12
+SAFETY_FIRST, SAFETY_SPAN = 8, 28
+PLANNED_FIRST, PLANNED_SPAN = 4, 52
+CANCELLED_EVERY = 97
+DELAYED_EVERY = 31
+ARRIVING_SPAN, SHIPPED_SPAN, TRANSFERRED_SPAN, ADJUSTED_SPAN = 55, 48, 18, 8
+LINKED_OF_FOUR = 2
+LOCATIONS = 40
 FIRST_DAY = date(2026, 4, 1)
 SCHEDULE_DAYS = 211
 LEDGER_DAYS = 123
@@ -33,6 +42,7 @@ DEFAULT_SEED = 675
 # and the shares of operational events in percent.
 ACTUAL_NOISE = [-3, -2, -1, 0, 0, 0, 1, 2]
 POSTING_LAG = [0, 0, 0, 1]
+OPENING_FIRST, OPENING_LAST = 35, 180
 OPERATION_SHARES = [("PUTAWAY", 45), ("TRANSFER_IN", 18), ("TRANSFER_OUT", 18), ("ADJUSTMENT", 19)]
 HISTORY_DAYS = 120
 
@@ -66,20 +76,20 @@ def products(ids: DataFrame) -> DataFrame:
         _numbered("PRD-", 5, _id() + 1).alias("product_id"),
         _cycle(CATEGORIES).alias("product_category"),
         _cycle(PACKAGING).alias("packaging_type"),
-        _integer(_id() % 5 * 12 + 36).alias("standard_units_per_pallet"),
-        F.concat(F.lit("AREA-"), (_id() % 12 + 1).cast("string")).alias("storage_area"),
-        _integer(_id() % 28 + 8).alias("safety_stock_pallets"),
+        _integer(_id() % UNITS_KINDS * UNITS_STEP + UNITS_FIRST).alias("standard_units_per_pallet"),
+        F.concat(F.lit("AREA-"), (_id() % AREAS + 1).cast("string")).alias("storage_area"),
+        _integer(_id() % SAFETY_SPAN + SAFETY_FIRST).alias("safety_stock_pallets"),
     )
 
 
 def shipments(ids: DataFrame, product_count: int = DEFAULT_PRODUCTS) -> DataFrame:
     """The schedule. A `product_count` coprime to 100 gives every product both directions."""
     day = _id() % SCHEDULE_DAYS
-    planned = _integer(_id() % 52 + 4)
+    planned = _integer(_id() % PLANNED_SPAN + PLANNED_FIRST)
     done = day <= LAST_COMPLETED_DAY
     status = (
-        F.when(_id() % 97 == 0, contract.CANCELLED)
-        .when(_id() % 31 == 0, contract.DELAYED)
+        F.when(_id() % CANCELLED_EVERY == 0, contract.CANCELLED)
+        .when(_id() % DELAYED_EVERY == 0, contract.DELAYED)
         .when(done, "COMPLETED")
         .otherwise("SCHEDULED")
     )
@@ -113,18 +123,18 @@ def transactions(
     sign = F.when(parity % 2 == 0, 1).otherwise(-1)
     kind = _id() % len(contract.TRANSACTION_TYPES)
     quantity = {
-        "SHIPMENT": -(_id() % 48 + 1),
-        "TRANSFER_OUT": -(_id() % 18 + 1),
+        "SHIPMENT": -(_id() % SHIPPED_SPAN + 1),
+        "TRANSFER_OUT": -(_id() % TRANSFERRED_SPAN + 1),
         "PUTAWAY": F.lit(0),
-        "ADJUSTMENT": sign * (_id() % 8 + 1),
+        "ADJUSTMENT": sign * (_id() % ADJUSTED_SPAN + 1),
     }
-    arriving = _id() % 55 + 1
+    arriving = _id() % ARRIVING_SPAN + 1
     amounts = [quantity.get(name, arriving) for name in contract.TRANSACTION_TYPES]
     amount = F.element_at(F.array(*[a.cast("bigint") for a in amounts]), _integer(kind + 1))
-    place = _id() % 40
+    place = _id() % LOCATIONS
     return ids.select(
         _numbered("TX-", 12, _id() + 1).alias("transaction_id"),
-        F.when(_id() % 4 < 2, _numbered("SHP-", 10, _id() % shipment_count + 1)).alias("shipment_id"),
+        F.when(_id() % 4 < LINKED_OF_FOUR, _numbered("SHP-", 10, _id() % shipment_count + 1)).alias("shipment_id"),
         _numbered("PRD-", 5, _id() % product_count + 1).alias("product_id"),
         _cycle(contract.WAREHOUSES).alias("warehouse_id"),
         _day(FIRST_DAY, _id() % LEDGER_DAYS).alias("transaction_date"),
@@ -165,7 +175,7 @@ def opening_balances(product_table: DataFrame, as_of: str | date, seed: int = DE
             "warehouse_id",
             F.date_sub(F.lit(as_date(as_of)), HISTORY_DAYS).alias("transaction_date"),
             F.lit("ADJUSTMENT").alias("transaction_type"),
-            (draw(number, seed, 1, 146) + 35).alias("pallet_quantity"),
+            (draw(number, seed, 1, OPENING_LAST - OPENING_FIRST + 1) + OPENING_FIRST).alias("pallet_quantity"),
             F.lit("OPENING").alias("source_location"),
             F.col("storage_area").alias("destination_location"),
         )
@@ -215,8 +225,8 @@ def operational_events(
     for name, weight in OPERATION_SHARES:
         reached += weight
         kind = kind.when(share < reached, name)
-    moved = draw(_id(), seed, 6, 18) + 1
-    adjusted = (draw(_id(), seed, 7, 8) + 1) * (draw(_id(), seed, 8, 2) * 2 - 1)
+    moved = draw(_id(), seed, 6, TRANSFERRED_SPAN) + 1
+    adjusted = (draw(_id(), seed, 7, ADJUSTED_SPAN) + 1) * (draw(_id(), seed, 8, 2) * 2 - 1)
     event_type = F.col("transaction_type")
     quantity = (
         F.when(event_type == "PUTAWAY", 0)
