@@ -32,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import textbytes as tb
@@ -94,10 +94,11 @@ def _nodes(width: int) -> Callable:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
+                        part.column("mark"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([node_of(s) for s in sets], pa.int64()),
                     ],
-                    ["id", "n", "node"],
+                    ["id", "mark", "n", "node"],
                 )
 
     return run
@@ -425,18 +426,39 @@ def links(texts: DataFrame, rule: Rule = Rule(), orders: int = ORDERS, most: int
     return laid.mapInArrow(_verifying(rule), "a long, b long")
 
 
+def _mark() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def join_components(documents: DataFrame, rule: Rule = Rule(), orders: int = ORDERS, most: int = FREQUENT, paired: int = PAIRED, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, node (number of the document's set) and component_id of every row."""
-    source = documents.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    members = written(source.mapInArrow(_nodes(rule.width), "id long, n long, node long"), "members")
+    """doc_id, mark (hash of the text), n_shingles, root (of the component) and component_id of every row."""
+    source = documents.select(F.col("doc_id").alias("id"), _mark().alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
+    members = written(source.mapInArrow(_nodes(rule.width), "id long, mark long, n long, node long"), "members")
     roots = components(links(source.select("text"), rule, orders, most, paired, block))
     classes = members.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(roots, "node", "left")
     classes = classes.withColumn("root", F.coalesce("root", "node"))
     lowest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = classes.join(lowest, "root").select("node", "component_id")
+    by_node = classes.join(lowest, "root").select("node", "root", "component_id")
     return members.join(by_node, "node", "left").select(
         F.col("id").alias("doc_id"),
+        "mark",
         F.col("n").alias("n_shingles"),
-        "node",
+        "root",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def one_of_each(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The documents without all but the one of smallest id of each component.
+
+    A null id counts as the largest; of rows with that id the one with the smallest hash of
+    its text stays, of equal rows one. Documents without words all stay.
+    """
+    columns = documents.columns
+    found = join_components(documents.select("doc_id", "text"), rule).filter("n_shingles > 0")
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
+    staying = found.groupBy("root").agg(F.min(first).alias("row")).select(F.struct("row.doc_id", "row.mark").alias("_key"))
+    rows = documents.select(F.struct(*columns).alias("_row"), F.struct("doc_id", _mark().alias("mark")).alias("_key"))
+    has_word = F.col("_row.text").rlike(r"[^\x20\x09-\x0D]")
+    worded = rows.filter(has_word).join(staying, "_key", "left_semi").dropDuplicates(["_key"])
+    return worded.unionByName(rows.filter(F.coalesce(~has_word, F.lit(True)))).select("_row.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import decontamination, language, ngram_join, tokens
+from stockflow.llm import decontamination, fingerprints, language, mixing, ngram_join, pii, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > tokens.OVER)
 
 
+def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words the mix takes of it, in the order of the queue."""
+    sent = mixing.queue(table(spark, sf_dir, "documents"), ["doc_id"])
+    return sent.orderBy("finish", "doc_id").select("doc_id", "size", "source_size", "target", "taken")
+
+
 def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontamination.find_passages(documents, benchmark, ["doc_id"])
@@ -35,12 +41,20 @@ def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.masked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").withColumn("held_out", language.fold("doc_id", 4) == 2)
     filters = language.learn(documents.filter("NOT held_out"))
     return language.predict(documents, filters, ["doc_id", "held_out"])
 
 
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.join_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -48,7 +62,10 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
+    "op3_mixing_sources": mix,
     "op6_benchmark_decontamination": benchmark_hits,
+    "op7_pii": pseudonyms,
     "op8_language_id": languages,
+    "op9_document_fingerprints": document_fingerprints,
     "op10_ngram_jaccard_join": near_duplicates,
 }
