@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import decontamination, fingerprints, language, mixing, ngram_join, pii, tokens
+from stockflow.llm import decontamination, fingerprints, language, licenses, mixing, ngram_join, pii, quality, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,12 +21,37 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > tokens.OVER)
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        F.size("sentences").cast("long").alias("n_sentences"),
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join("licenses", ",").alias("licenses"),
+    )
+
+
 def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words the mix takes of it, in the order of the queue."""
     sent = mixing.queue(table(spark, sf_dir, "documents"), ["doc_id"])
     return sent.orderBy("finish", "doc_id").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def graded_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Selected are documents that are more likely than not above the lowest grade."""
+    documents = table(spark, sf_dir, "documents")
+    model = quality.learn(documents, quality.grades_of(table(spark, sf_dir, "labels")))
+    scored = quality.score(documents, model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        "expected_grade",
+        F.col("tails")[0].alias("p_not_toxic"),
+        F.col("tails")[1].alias("p_high"),
+        (F.col("tails")[0] < 0.5).alias("toxic"),
+        (F.col("tails")[0] >= 0.5).alias("keep"),
+    )
+
+
 def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontamination.find_passages(documents, benchmark, ["doc_id"])
@@ -62,7 +87,9 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
+    "op2_license_scans": license_scan,
     "op3_mixing_sources": mix,
+    "op5_quality_classifier": graded_quality,
     "op6_benchmark_decontamination": benchmark_hits,
     "op7_pii": pseudonyms,
     "op8_language_id": languages,
