@@ -19,16 +19,19 @@ from pyspark.sql import functions as F
 
 from stockflow.llm import decontamination, language, mixing, ngram_join, pii
 from stockflow.llm.queries import table
+from stockflow.llm.shipping import ship_package
 from stockflow.session import written
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learned on the training fold of the stage's own documents."""
+    ship_package(spark)
     filters = language.learn(docs.filter(language.fold("doc_id", 4) != 2))
     return language.accepted(docs, filters)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return ngram_join.one_of_each(docs)
 
 
@@ -37,6 +40,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return pii.pseudonymised(docs)
 
 

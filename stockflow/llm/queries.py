@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import decontamination, fingerprints, language, licenses, mixing, ngram_join, pii, quality, tokens
+from stockflow.llm import decontamination, fingerprints, language, licenses, lm_scoring, mixing, ngram_join, pii, quality, tokens
+from stockflow.llm.shipping import ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,6 +39,10 @@ def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.orderBy("finish", "doc_id").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def graded_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Selected are documents that are more likely than not above the lowest grade."""
     documents = table(spark, sf_dir, "documents")
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op2_license_scans": license_scan,
     "op3_mixing_sources": mix,
+    "op4_lm_scoring": language_model_scores,
     "op5_quality_classifier": graded_quality,
     "op6_benchmark_decontamination": benchmark_hits,
     "op7_pii": pseudonyms,
