@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,9 +43,9 @@ from stockflow.session import written
 WIDTH = 4
 PERCENT = 85
 ORDERS = 2
-RARE_BELOW = 32  # documents with a shingle from which on it goes last
+RARE_BELOW = 8  # documents with a shingle from which on it goes last
 FREQUENT = 1 << 20  # shingles that may go last: 8 MB in every task
-PAIRED = 128  # nodes with a rare shingle up to which they are paired
+PAIRED = 32  # nodes with a rare shingle up to which they are paired
 BLOCK = 512  # nodes of a block of a group
 PENDING = 8 << 20  # shingles a task holds while it counts
 FILTER_BITS = 26  # of the bitmap of nodes to be verified: 8 MB in every task
@@ -85,21 +86,48 @@ def node_of(own: np.ndarray) -> int:
         return int(tb.mixed(np.array([total + np.uint64(len(own))]))[0].astype(np.int64))
 
 
-def _nodes(width: int) -> Callable:
+def _survey(width: int) -> Callable:
+    """A row per document (id, mark, n, node), and shingles that several sets of a task have (token, n)."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        seen: set[int] = set()
+        size = 0
+
+        def repeated() -> pa.RecordBatch:
+            values, times = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+            values, times = values[times > 1].view(np.int64), times[times > 1].astype(np.int64)
+            none = pa.nulls(len(values), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [none, none, pa.array(times), none, pa.array(values)], ["id", "mark", "n", "node", "token"]
+            )
+
         for batch in batches:
             for a, b in tb.slices(batch.column("text")):
                 part = batch.slice(a, b - a)
                 sets = shingle_sets(part.column("text"), width)
+                nodes = [node_of(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
                         part.column("mark"),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([node_of(s) for s in sets], pa.int64()),
+                        pa.array(nodes, pa.int64()),
+                        pa.nulls(len(sets), pa.int64()),
                     ],
-                    ["id", "mark", "n", "node"],
+                    ["id", "mark", "n", "node", "token"],
                 )
+                for node, own in zip(nodes, sets):
+                    if node not in seen:
+                        seen.add(node)
+                        held.append(own)
+                        size += len(own)
+                if size > PENDING:
+                    yield repeated()
+                    held.clear()
+                    seen.clear()
+                    size = 0
+        yield repeated()
 
     return run
 
@@ -123,39 +151,14 @@ def _new_sets(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[p
             yield column, rows, nodes, [sets[k] for k in rows]
 
 
-def _repeated(width: int) -> Callable:
-    """Shingles that several sets of a task have, with their number."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def rows() -> pa.RecordBatch:
-            values, times = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            often = times > 1
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(values[often].view(np.int64)), pa.array(times[often].astype(np.int64))], ["token", "n"]
-            )
-
-        for _, _, _, sets in _new_sets(batches, width):
-            held += sets
-            size += sum(map(len, sets))
-            if size > PENDING:
-                yield rows()
-                size = 0
-        yield rows()
-
-    return run
-
-
-def frequent_shingles(texts: DataFrame, width: int = WIDTH, most: int = FREQUENT) -> np.ndarray:
+def frequent_shingles(counts: DataFrame, most: int = FREQUENT) -> np.ndarray:
     """At most `most` shingles that `RARE_BELOW` or more documents share, ascending."""
-    counts = texts.mapInArrow(_repeated(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    table = written(counts.filter(F.col("n") >= RARE_BELOW), "frequent-shingles")
+    summed = counts.groupBy("token").agg(F.sum("n").alias("n"))
+    table = written(summed.filter(F.col("n") >= RARE_BELOW), "frequent-shingles")
     level = F.floor(F.log2("n") * 8)
+    levels = table.groupBy(level.alias("level")).agg(F.count("*").alias("k"), F.min("n").alias("least"))
     total, least = 0, 1 << 62
-    for row in sorted(table.groupBy(level.alias("level")).agg(F.count("*").alias("k"), F.min("n").alias("least")).collect(), reverse=True):
+    for row in sorted(levels.collect(), reverse=True):  # one row for each eighth of a doubling
         total += row["k"]
         if total > most:
             break
@@ -164,34 +167,45 @@ def frequent_shingles(texts: DataFrame, width: int = WIDTH, most: int = FREQUENT
     return np.sort(chosen.column("token").to_numpy().view(np.uint64))
 
 
-def _prefixes(frequent, rule: Rule, orders: int, wanted: bool) -> Callable:
-    """(turn, token, node, n): the frequent or the other shingles of each node's prefixes."""
+def _prefixes(frequent, rule: Rule, orders: int) -> Callable:
+    """(turn, token, often, node, n): the prefix of every node under every order."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.frombuffer(frequent.value, np.uint64)
+        # most shingles are told apart from the frequent ones by a table of their low bits
+        low = np.uint64((1 << 22) - 1)
+        maybe = np.zeros(1 << 22, bool)
+        maybe[last & low] = True
         for _, _, nodes, sets in _new_sets(batches, rule.width):
             if not sets:
                 continue
             sizes = np.array([len(s) for s in sets], np.int64)
             tokens = np.concatenate(sets)
-            owner = np.repeat(np.arange(len(sets)), sizes)
-            at = np.searchsorted(last, tokens)
-            often = last[np.minimum(at, len(last) - 1)] == tokens if len(last) else np.zeros(len(tokens), bool)
-            rank = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            inside = rank < np.repeat(rule.prefix(sizes), sizes)
-            of = np.array(nodes, np.int64)
+            often = maybe[tokens & low]
+            some = np.flatnonzero(often)
+            often[some] = last[np.minimum(np.searchsorted(last, tokens[some]), len(last) - 1)] == tokens[some]
+            ends = np.cumsum(sizes).tolist()
+            lengths = rule.prefix(sizes)
+            owner = np.repeat(np.array(nodes, np.int64), lengths)
+            number = np.repeat(sizes, lengths)
             for turn in range(orders):
                 salt = np.uint64((turn + 1) * int(tb.BASE) % (1 << 64))
-                order = np.lexsort((tb.mixed(tokens ^ salt), often, owner))[inside]
-                order = order[often[order] == wanted]
+                place = (tb.mixed(tokens ^ salt) >> np.uint64(1)) | (often.astype(np.uint64) << np.uint64(63))
+                first = np.concatenate(
+                    [
+                        np.argpartition(place[end - n : end], p - 1)[:p] + (end - n)
+                        for end, n, p in zip(ends, sizes.tolist(), lengths.tolist())
+                    ]
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(order), turn, np.int32)),
-                        pa.array(tokens[order].view(np.int64)),
-                        pa.array(of[owner[order]]),
-                        pa.array(sizes[owner[order]]),
+                        pa.array(np.full(len(first), turn, np.int32)),
+                        pa.array(tokens[first].view(np.int64)),
+                        pa.array(often[first]),
+                        pa.array(owner),
+                        pa.array(number),
                     ],
-                    ["turn", "token", "node", "n"],
+                    ["turn", "token", "often", "node", "n"],
                 )
 
     return run
@@ -201,7 +215,7 @@ def _pairs(rule: Rule, paired: int) -> Callable:
     """What comes of the meetings in a rare shingle: (crowded, turn, a, b).
 
     Pairs of nodes whose sizes allow a link; where more than `paired` nodes meet, the rows
-    (shingle, node) instead, for the way of the frequent shingles.
+    (shingle, node) instead, as for the frequent shingles, which are not paired at all.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +223,9 @@ def _pairs(rule: Rule, paired: int) -> Callable:
         if not held:
             return
         table = pa.Table.from_batches(held)
-        turn, token, node, n = (table.column(c).to_numpy() for c in ("turn", "token", "node", "n"))
+        turn, token, often, node, n = (table.column(c).to_numpy() for c in ("turn", "token", "often", "node", "n"))
+        passed = np.unique(np.stack([turn[often].astype(np.int64), token[often], node[often]]), axis=1)
+        turn, token, node, n = turn[~often], token[~often], node[~often], n[~often]
         order = np.lexsort((n, token, turn))
         turn, token, node, n = turn[order], token[order], node[order], n[order]
         alone = np.ones(len(token) + 1, bool)
@@ -233,7 +249,7 @@ def _pairs(rule: Rule, paired: int) -> Callable:
             found.append(np.stack([turn[live][differ].astype(np.int64), a[differ], b[differ]]))
             step += 1
         rows = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
-        for crowded, out in ((False, rows), (True, crowd)):
+        for crowded, out in ((False, rows), (True, crowd), (True, passed)):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(out.shape[1], crowded)), *[pa.array(r) for r in out]], ["crowded", "turn", "a", "b"]
             )
@@ -241,9 +257,14 @@ def _pairs(rule: Rule, paired: int) -> Callable:
     return run
 
 
-def meetings(rare: DataFrame, rule: Rule, paired: int = PAIRED) -> DataFrame:
-    """The written outcome of `_pairs`; a shingle's rows lie in one partition, never many."""
-    laid = rare.select("turn", "token", "node", "n").repartition("turn", "token")
+def meetings(prefixes: DataFrame, rule: Rule, paired: int = PAIRED) -> DataFrame:
+    """The written outcome of `_pairs`.
+
+    The rows of a rare shingle lie in one partition, and are never many; those of a
+    frequent one need not meet here and are spread by their nodes.
+    """
+    key = F.when(F.col("often"), F.col("node")).otherwise(F.col("token"))
+    laid = prefixes.withColumn("key", key).repartition("turn", "key").drop("key")
     return written(laid.mapInArrow(_pairs(rule, paired), "crowded boolean, turn long, a long, b long"), "meetings")
 
 
@@ -282,15 +303,17 @@ def crowded_blocks(crowd: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _wanted_texts(bitmap, width: int) -> Callable:
-    """(node, text) of the nodes whose bit is set, once per task."""
+    """(node, packed text) of the nodes whose bit is set, once per task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.int64)
+        packer = zstandard.ZstdCompressor(level=3)
         for column, rows, nodes, _ in _new_sets(batches, width):
             at = _bit_of(np.array(nodes, np.int64))
             some = (bits[at >> 6] >> (at & 63)) & 1 == 1
+            texts = column.cast(pa.large_binary()).take(pa.array(np.array(rows, np.int64)[some])).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(nodes, np.int64)[some]), column.take(pa.array(np.array(rows, np.int64)[some]))],
+                [pa.array(np.array(nodes, np.int64)[some]), pa.array([packer.compress(t) for t in texts], pa.binary())],
                 ["node", "text"],
             )
 
@@ -366,6 +389,7 @@ def _verifying(rule: Rule) -> Callable:
         return edges
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdDecompressor()
         key, nodes, sets = None, [], []
         edges: list[tuple[int, int]] = []
 
@@ -374,11 +398,12 @@ def _verifying(rule: Rule) -> Callable:
             return unit(key[0], key[1], np.array(list(unique), np.int64), list(unique.values())) if len(unique) > 1 else []
 
         for batch in batches:
-            for a, b in tb.slices(batch.column("text")):
+            for a, b in tb.slices(batch.column("text"), tb.SLICE_BYTES // 4):
                 part = batch.slice(a, b - a)
                 keys = list(zip(*(part.column(c).to_pylist() for c in ("lead", "i", "j"))))
                 own = part.column("node").to_pylist()
-                for k, found in enumerate(shingle_sets(part.column("text"), rule.width)):
+                texts = pa.array([packer.decompress(t) for t in part.column("text").to_pylist()], pa.large_binary())
+                for k, found in enumerate(shingle_sets(texts, rule.width)):
                     if keys[k] != key:
                         edges += closed() if key else []
                         key, nodes, sets = keys[k], [], []
@@ -398,21 +423,27 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def links(texts: DataFrame, rule: Rule = Rule(), orders: int = ORDERS, most: int = FREQUENT, paired: int = PAIRED, block: int = BLOCK) -> DataFrame:
+def links(
+    texts: DataFrame,
+    counts: DataFrame,
+    rule: Rule = Rule(),
+    orders: int = ORDERS,
+    most: int = FREQUENT,
+    paired: int = PAIRED,
+    block: int = BLOCK,
+) -> DataFrame:
     """(a, b): edges between nodes whose components are those of all links.
 
-    Pairs that meet in rare shingles give all their links, groups around frequent ones a
-    spanning forest of theirs.
+    `counts` are the shingles that tasks found repeated (token, n). Pairs that meet in rare
+    shingles give all their links, crowds a spanning forest of theirs.
     """
     context = texts.sparkSession.sparkContext
-    frequent = context.broadcast(frequent_shingles(texts, rule.width, most).tobytes())
-    schema = "turn int, token long, node long, n long"
-    met = meetings(texts.mapInArrow(_prefixes(frequent, rule, orders, False), schema), rule, paired)
-    often = texts.mapInArrow(_prefixes(frequent, rule, orders, True), schema)
-    crowd = often.select("turn", "token", "node").unionByName(
-        met.filter("crowded").select(F.col("turn").cast("int"), F.col("a").alias("token"), F.col("b").alias("node"))
+    frequent = context.broadcast(frequent_shingles(counts, most).tobytes())
+    prefixes = texts.mapInArrow(
+        _prefixes(frequent, rule, orders), "turn int, token long, often boolean, node long, n long"
     )
-    crowd = written(crowd, "crowds")
+    met = meetings(prefixes, rule, paired)
+    crowd = met.filter("crowded").select(F.col("turn").cast("int"), F.col("a").alias("token"), F.col("b").alias("node"))
     pairs = written(candidate_pairs(met, crowd, orders), "candidate-pairs")
     stars = pairs.select(F.col("a").alias("lead"), F.col("b").alias("node")).union(pairs.select("a", "a").distinct())
     units = written(
@@ -420,7 +451,7 @@ def links(texts: DataFrame, rule: Rule = Rule(), orders: int = ORDERS, most: int
         "join-units",
     )
     bitmap = context.broadcast(_bitmap(units))
-    wanted = texts.mapInArrow(_wanted_texts(bitmap, rule.width), "node long, text string")
+    wanted = texts.mapInArrow(_wanted_texts(bitmap, rule.width), "node long, text binary")
     work = units.join(wanted, "node").select("lead", "i", "j", "node", "text")
     laid = work.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
     return laid.mapInArrow(_verifying(rule), "a long, b long")
@@ -433,8 +464,9 @@ def _mark() -> Column:
 def join_components(documents: DataFrame, rule: Rule = Rule(), orders: int = ORDERS, most: int = FREQUENT, paired: int = PAIRED, block: int = BLOCK) -> DataFrame:
     """doc_id, mark (hash of the text), n_shingles, root (of the component) and component_id of every row."""
     source = documents.select(F.col("doc_id").alias("id"), _mark().alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
-    members = written(source.mapInArrow(_nodes(rule.width), "id long, mark long, n long, node long"), "members")
-    roots = components(links(source.select("text"), rule, orders, most, paired, block))
+    survey = written(source.mapInArrow(_survey(rule.width), "id long, mark long, n long, node long, token long"), "survey")
+    members, counts = survey.filter("token IS NULL"), survey.filter("token IS NOT NULL").select("token", "n")
+    roots = components(links(source.select("text"), counts, rule, orders, most, paired, block))
     classes = members.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(roots, "node", "left")
     classes = classes.withColumn("root", F.coalesce("root", "node"))
     lowest = classes.groupBy("root").agg(F.min("least").alias("component_id"))

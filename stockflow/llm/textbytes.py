@@ -8,6 +8,7 @@ slice of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -81,28 +82,34 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+@lru_cache(1)
 def _byte_values() -> np.ndarray:
     return mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
 
 
+@lru_cache(4)
+def _powers(base: int, log_size: int) -> np.ndarray:
+    """base ** 0, 1, 2 ... modulo 2**64."""
+    out = np.full(1 << log_size, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out, out=out)
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each word: a polynomial in random byte values, by prefix sums.
 
-    The power of a byte is its distance from the end of its block of positions, so equal
-    words have equal hashes wherever they stand.
+    The sum of a word is divided by the power of its first position, so equal words have
+    equal hashes wherever they stand.
     """
     n = len(raw)
     if not len(starts):
         return np.zeros(0, np.uint64)
-    powers = np.full(n + 1, BASE, np.uint64)
-    powers[0] = 1
-    np.multiply.accumulate(powers, out=powers)
+    log_size = max(23, n.bit_length())
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_byte_values()[raw] * powers[:n], out=sums[1:])
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    back = np.full(n + 1, inverse, np.uint64)
-    back[0] = 1
-    np.multiply.accumulate(back, out=back)
+    terms = _byte_values()[raw]
+    terms *= _powers(int(BASE), log_size)[:n]
+    np.cumsum(terms, out=sums[1:])
+    back = _powers(pow(int(BASE), -1, 1 << 64), log_size)
     return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
@@ -115,13 +122,13 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[n
     full = np.maximum(counts - width + 1, 0)
     number = np.where((counts > 0) & (full == 0), 1, full)
     firsts = np.cumsum(counts) - counts
-    owner = np.repeat(np.arange(len(counts)), number)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
-    at = firsts[owner] + place
-    length = np.minimum(counts, width)[owner]
-    out = length.astype(np.uint64) * MIX
+    # position of each shingle's first word: consecutive within a document
+    at = np.arange(number.sum()) + np.repeat(firsts - (np.cumsum(number) - number), number)
     padded = np.append(words, np.zeros(width, np.uint64))
-    for k in range(width):
-        part = padded[at + k]
-        out = np.where(k < length, mixed(out * BASE + part), out)
-    return out, number
+    out = padded[at]
+    short = np.repeat((counts > 0) & (full == 0), number)
+    length = np.repeat(np.minimum(counts, width), number) if short.any() else None
+    for k in range(1, width):
+        longer = out * BASE + padded[at + k]
+        out = longer if length is None else np.where(k < length, longer, out)
+    return mixed(out if length is None else out + length.astype(np.uint64) * np.where(short, MIX, 0).astype(np.uint64)), number
