@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import textbytes as tb
+from stockflow.session import written
 
 LENGTHS = (3, 4)
 MIN_RATE = 1e-5
@@ -46,8 +47,8 @@ def _letters() -> np.ndarray:
     return table
 
 
-def grams_of(texts: list[str | None], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(n-grams, n-grams per text, whether each text has a letter).
+def grams_of(texts: list[str | None], letters: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """((n-grams, n-grams per text) for each length, whether each text has a letter).
 
     Texts are lower-cased; what is not a letter is one space between words and at both ends.
     """
@@ -76,11 +77,7 @@ def grams_of(texts: list[str | None], letters: np.ndarray) -> tuple[np.ndarray,
             count = np.where(has_letter, np.maximum(number - reach, 0), 0)
             start = np.repeat(bounds[:-1], count) + _ranges(count)
             found.append((packed[start] * np.uint64(2) + np.uint64(length % 2), count))
-    counts = sum(c for _, c in found)
-    # text by text, lengths one after another
-    place = np.concatenate([np.repeat(np.arange(len(texts)), c) for _, c in found])
-    order = np.argsort(place, kind="stable")
-    return np.concatenate([g for g, _ in found])[order], counts, has_letter
+    return found, has_letter
 
 
 def _ranges(counts: np.ndarray) -> np.ndarray:
@@ -111,13 +108,15 @@ def _counting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in tb.slices(batch.column("text")):
             part = batch.slice(a, b - a)
-            grams, counts, _ = grams_of(part.column("text").to_pylist(), letters)
-            langs = np.array(part.column("lang").to_pylist(), object)
-            owner = np.repeat(langs, counts)
-            for lang in sorted(set(langs)):
-                values, times = np.unique(grams[owner == lang], return_counts=True)
-                held.setdefault(lang, []).append((values, times))
-                if len(held[lang]) % 8 == 0:
+            found, _ = grams_of(part.column("text").to_pylist(), letters)
+            names, number = np.unique(np.array(part.column("lang").to_pylist(), str), return_inverse=True)
+            for grams, counts in found:
+                owner = np.repeat(number, counts)
+                for k, lang in enumerate(names.tolist()):
+                    values, times = np.unique(grams[owner == k], return_counts=True)
+                    held.setdefault(lang, []).append((values, times))
+            for lang in names.tolist():
+                if len(held[lang]) > 8:
                     held[lang] = [merged(lang)]
             if sum(len(g) for own in held.values() for g, _ in own) > PENDING:
                 yield from rows()
@@ -143,14 +142,16 @@ class LanguageFilters:
 
     def classify(self, texts: list[str | None], letters: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score, share of known n-grams) of each text."""
-        grams, counts, has_letter = grams_of(texts, letters)
-        masks = self.probe(grams)
-        ends = np.concatenate([[0], np.cumsum(counts)])
+        found, has_letter = grams_of(texts, letters)
         share = np.zeros((len(texts), len(self.languages)))
-        for k in range(len(self.languages)):
-            bit = (masks[:, k // 64] >> masks.dtype.type(k % 64)) & masks.dtype.type(1)
-            hits = np.concatenate([[0], np.cumsum(bit, dtype=np.int64)])
-            share[:, k] = np.diff(hits[ends]) / np.maximum(counts, 1)
+        for grams, counts in found:
+            masks = self.probe(grams)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            for k in range(len(self.languages)):
+                bit = (masks[:, k // 64] >> masks.dtype.type(k % 64)) & masks.dtype.type(1)
+                hits = np.concatenate([[0], np.cumsum(bit, dtype=np.int32)])
+                share[:, k] += np.diff(hits[ends])
+        share /= np.maximum(sum(counts for _, counts in found), 1)[:, None]
         share = np.clip((share - self.chance) / (1 - self.chance), 0, 1)
         best = np.argmax(share, axis=1) if len(self.languages) else np.zeros(len(texts), np.int64)
         total = share.sum(axis=1)
@@ -169,7 +170,8 @@ def _slot(grams: np.ndarray, probe: int, bits: int) -> np.ndarray:
 def learn(training: DataFrame) -> LanguageFilters:
     """Filters from the columns text and lang of the training rows."""
     rows = training.select("lang", "text").dropna()
-    counts = rows.mapInArrow(_counting, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(_counting, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = written(counted, "language-counts")
     # one length weighs as the other: both have about one n-gram per letter
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     per_gram = (
