@@ -53,6 +53,12 @@ READINESS_SCHEMA = """
     as_of_date date
 """
 
+INVENTORY_SCHEMA = """
+    product_id string,
+    warehouse_id string,
+    current_inventory bigint
+"""
+
 # --- fixed values: table names ---------------------------------------------
 
 PRODUCTS = "product_reference"

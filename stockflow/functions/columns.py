@@ -45,23 +45,37 @@ def percentage(part: str, whole: str) -> Column:
     return F.expr(f"(({part} * 20000 + {whole}) div ({whole} * 2)) / 100.0D")
 
 
-# Fixed values of the repeatable draw: a prime modulus below 2**31 and two odd factors.
-# All products stay below 2**63, so the draw is plain bigint arithmetic everywhere.
+# Fixed values of the repeatable draw: a prime modulus below 2**31 and two factors below 2**30
+# and 2**31. Each sum of products stays below 2**63, so the draw is plain bigint arithmetic.
 DRAW_MODULUS = 2147483647
-DRAW_FACTOR = 1103515245
+DRAW_FACTOR = 1073741789
 DRAW_STEP = 1013904223
 
 
+def draw_start(seed: int, purpose: int) -> int:
+    """What seed and purpose add to a draw, reduced here, as a seed may be of any size."""
+    return (seed * 7919 + purpose) * DRAW_STEP % DRAW_MODULUS
+
+
 def draw(number: Column, seed: int, purpose: int, size: int) -> Column:
     """A value in 0..size-1 that depends only on `number`, `seed` and `purpose`.
 
-    It needs no order and no random state, so a lost task recomputes the same rows.
+    It needs no order and no random state, so a lost task recomputes the same rows. Both
+    halves of a 64-bit number count.
     """
-    first = (number % DRAW_MODULUS * DRAW_FACTOR + (seed * 7919 + purpose) * DRAW_STEP) % DRAW_MODULUS
+    number = number.cast("bigint")
+    low = F.pmod(number, F.lit(DRAW_MODULUS).cast("bigint"))
+    high = F.pmod(F.shiftright(number, 31), F.lit(DRAW_MODULUS).cast("bigint"))
+    first = (low * DRAW_FACTOR + high * DRAW_STEP + draw_start(seed, purpose)) % DRAW_MODULUS
     second = (first * first + DRAW_STEP * purpose) % DRAW_MODULUS
     return (second % size).cast("int")
 
 
+def text_number(text: str) -> Column:
+    """A number below 2**32 from any text: the first half of a word of its MD5 digest."""
+    return F.conv(F.substring(F.md5(F.col(text).cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
 def pick(values: list, index: Column) -> Column:
     """The entry of a literal list at a 0-based index."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)

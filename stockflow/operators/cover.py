@@ -4,7 +4,6 @@ An arrival covers an order when its key is the same, its date is strictly later
 its level reaches what the order needs. Joining every short order with every later
 arrival would grow with the square of a key's events. Instead the arrivals of a key are
 reduced to one level per day, and each short order looks through that list of days.
-The list has at most one entry per calendar day, however many events the key has.
 """
 
 from __future__ import annotations
@@ -36,31 +35,37 @@ def short_orders(projected: DataFrame) -> DataFrame:
     return projected.filter((F.col("shipment_type") == OUTBOUND) & (F.col("missing_pallets") > 0))
 
 
-def cover_dates(projected: DataFrame, policy: str = NETTED) -> DataFrame:
-    """Outbound orders with `earliest_inbound_date`; null when nothing is short or no cover comes.
+def arrival_days(projected: DataFrame, levels: dict[str, Column]) -> DataFrame:
+    """(key, _arrivals): per key the days with arrivals and, by name, the best level of each.
 
-    The events already lie together by key, or by block and key, so neither the
-    grouping nor the join moves them again.
+    A day that lies in several blocks has an entry for each of them; the list is bounded by
+    the calendar and the blocks of a day, not by the number of events.
     """
     by_day = (
         projected.filter(F.col("shipment_type") == INBOUND)
-        .groupBy(*STOCK_KEY, "scheduled_date")
-        .agg(F.max(arrival_level(policy)).alias("level"))
-    )
-    days = by_day.groupBy(*STOCK_KEY).agg(
-        F.collect_list(F.struct(F.col("scheduled_date").alias("day"), "level")).alias("_arrivals")
+        .groupBy("block", *STOCK_KEY, "scheduled_date")
+        .agg(*[F.max(level).alias(name) for name, level in levels.items()])
     )
-    place = STOCK_KEY
-    if "block" in projected.columns:
-        # a large key lies in many blocks: give each of them the list of days
-        place = ["block", *STOCK_KEY]
-        days = projected.select(*place).distinct().join(days, STOCK_KEY)
+    entry = F.struct(F.col("scheduled_date").alias("day"), *levels)
+    return by_day.groupBy(*STOCK_KEY).agg(F.collect_list(entry).alias("_arrivals"))
+
+
+def first_cover(level: str, need: str, missing: str = "missing_pallets") -> Column:
+    """The first later day of `_arrivals` on which `level` reaches `need`; null if nothing is missing."""
+    days = f"transform(filter(_arrivals, a -> a.day > scheduled_date AND a.{level} >= {need}), a -> a.day)"
+    return F.expr(f"CASE WHEN {missing} > 0 THEN array_min({days}) END")
 
+
+def cover_dates(projected: DataFrame, policy: str = NETTED) -> DataFrame:
+    """Outbound orders with `earliest_inbound_date`; null when nothing is short or no cover comes.
+
+    Only short orders look for a day. The join is by key and left outer, so Spark splits the
+    orders of a key with very many of them.
+    """
+    days = arrival_days(projected, {"level": arrival_level(policy)})
     orders = projected.filter(F.col("shipment_type") == OUTBOUND).withColumn("_need", needed_level(policy))
-    first_cover = """array_min(transform(
-        filter(_arrivals, a -> a.day > scheduled_date AND a.level >= _need), a -> a.day))"""
     return (
-        orders.join(days, place, "left")
-        .withColumn("earliest_inbound_date", F.expr(f"CASE WHEN missing_pallets > 0 THEN {first_cover} END"))
+        orders.join(days, STOCK_KEY, "left")
+        .withColumn("earliest_inbound_date", first_cover("level", "_need"))
         .drop("_arrivals", "_need")
     )

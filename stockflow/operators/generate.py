@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockflow import contract
-from stockflow.functions.columns import as_date, draw, pick
+from stockflow.functions.columns import as_date, draw, pick, text_number
+from stockflow.session import written
 
 # Fixed values of the generated tables.
 CATEGORIES = ["Beverage", "Food", "Household", "Paper", "Personal Care"]
@@ -24,7 +25,16 @@ SAFETY_FIRST, SAFETY_SPAN = 8, 28
 PLANNED_FIRST, PLANNED_SPAN = 4, 52
 CANCELLED_EVERY = 97
 DELAYED_EVERY = 31
-ARRIVING_SPAN, SHIPPED_SPAN, TRANSFERRED_SPAN, ADJUSTED_SPAN = 55, 48, 18, 8
+# of each ledger type: the sign of its quantity (None: by parity) and how many sizes it has
+LEDGER_TYPES = {
+    "RECEIPT": (1, 55),
+    "SHIPMENT": (-1, 48),
+    "TRANSFER_IN": (1, 55),
+    "TRANSFER_OUT": (-1, 18),
+    "PUTAWAY": (0, 1),
+    "ADJUSTMENT": (None, 8),
+}
+TRANSFERRED_SPAN, ADJUSTED_SPAN = 18, 8
 LINKED_OF_FOUR = 2
 LOCATIONS = 40
 FIRST_DAY = date(2026, 4, 1)
@@ -36,7 +46,7 @@ DEFAULT_TRANSACTIONS = 100_000_000
 DEFAULT_SHIPMENTS = 10_000_000
 DEFAULT_PRODUCTS = 10_000
 DEFAULT_PARTITIONS = 400
-DEFAULT_SEED = 675
+DEFAULT_SEED = 1
 
 # Fixed values of the drawn ledger: noise on completed quantities, posting lag in days,
 # and the shares of operational events in percent.
@@ -121,16 +131,11 @@ def transactions(
     """
     parity = F.floor(_id() / 2) if balanced_adjustments else _id()
     sign = F.when(parity % 2 == 0, 1).otherwise(-1)
-    kind = _id() % len(contract.TRANSACTION_TYPES)
-    quantity = {
-        "SHIPMENT": -(_id() % SHIPPED_SPAN + 1),
-        "TRANSFER_OUT": -(_id() % TRANSFERRED_SPAN + 1),
-        "PUTAWAY": F.lit(0),
-        "ADJUSTMENT": sign * (_id() % ADJUSTED_SPAN + 1),
-    }
-    arriving = _id() % ARRIVING_SPAN + 1
-    amounts = [quantity.get(name, arriving) for name in contract.TRANSACTION_TYPES]
-    amount = F.element_at(F.array(*[a.cast("bigint") for a in amounts]), _integer(kind + 1))
+    kind = _id() % len(LEDGER_TYPES)
+    signs = F.array(*[sign if s is None else F.lit(s) for s, _ in LEDGER_TYPES.values()])
+    spans = F.array(*[F.lit(span) for _, span in LEDGER_TYPES.values()])
+    chosen = _integer(kind + 1)
+    amount = F.element_at(signs, chosen) * (_id() % F.element_at(spans, chosen) + 1)
     place = _id() % LOCATIONS
     return ids.select(
         _numbered("TX-", 12, _id() + 1).alias("transaction_id"),
@@ -138,7 +143,7 @@ def transactions(
         _numbered("PRD-", 5, _id() % product_count + 1).alias("product_id"),
         _cycle(contract.WAREHOUSES).alias("warehouse_id"),
         _day(FIRST_DAY, _id() % LEDGER_DAYS).alias("transaction_date"),
-        _cycle(contract.TRANSACTION_TYPES).alias("transaction_type"),
+        _cycle(LEDGER_TYPES).alias("transaction_type"),
         _integer(amount).alias("pallet_quantity"),
         F.concat(F.lit("LOC-"), (place + 1).cast("string")).alias("source_location"),
         F.concat(F.lit("LOC-"), (place + 2).cast("string")).alias("destination_location"),
@@ -148,13 +153,8 @@ def transactions(
 # --- drawn ledger ----------------------------------------------------------------
 #
 # Opening balances, postings of completed shipments and operational events. Draws are a
-# hash of (seed, number), so they need no order. Transaction numbers are taken from
-# separate ranges instead of a running count over the whole ledger.
-
-
-def _number_in(column: str) -> Column:
-    """The digits of an id text as one number."""
-    return F.regexp_replace(column, "[^0-9]", "").cast("bigint")
+# hash of (seed, number), so they need no order. Transaction ids are made of the ids they
+# belong to, or of a number, behind different prefixes; so they are unique for any ids.
 
 
 def opening_balances(product_table: DataFrame, as_of: str | date, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -163,13 +163,13 @@ def opening_balances(product_table: DataFrame, as_of: str | date, seed: int = DE
     The three warehouses are exploded from a literal list: rows grow by a factor of
     three inside the task and nothing is joined.
     """
-    number = _number_in("product_id") * len(contract.WAREHOUSES) + F.col("warehouse_number")
+    number = text_number("product_id") * len(contract.WAREHOUSES) + F.col("warehouse_number")
     warehouses = F.array(*[F.lit(w) for w in contract.WAREHOUSES])
     return (
         product_table.select("product_id", "storage_area", F.posexplode(warehouses))
         .withColumnsRenamed({"pos": "warehouse_number", "col": "warehouse_id"})
         .select(
-            _numbered("TX-O", 12, number).alias("transaction_id"),
+            F.concat_ws("-", F.lit("TX-O"), "product_id", F.col("warehouse_number").cast("string")).alias("transaction_id"),
             F.lit(None).cast("string").alias("shipment_id"),
             "product_id",
             "warehouse_id",
@@ -185,17 +185,21 @@ def opening_balances(product_table: DataFrame, as_of: str | date, seed: int = DE
 def movements_from_shipments(
     shipment_table: DataFrame, product_table: DataFrame, seed: int = DEFAULT_SEED
 ) -> DataFrame:
-    """The posting of each completed shipment: planned plus noise, the same or the next day."""
-    number = _number_in("shipment_id")
+    """The posting of each completed shipment, on the same or the next day.
+
+    It posts the shipment's own actual quantity, and planned plus noise where there is none.
+    """
+    number = text_number("shipment_id")
     noise = pick(ACTUAL_NOISE, draw(number, seed, 2, len(ACTUAL_NOISE)))
-    actual = F.greatest(F.col("planned_pallet_quantity") + noise, F.lit(0))
+    drawn = F.greatest(F.col("planned_pallet_quantity") + noise, F.lit(0))
+    actual = F.coalesce("actual_pallet_quantity", drawn)
     lag = pick(POSTING_LAG, draw(number, seed, 3, len(POSTING_LAG)))
     inbound = F.col("shipment_type") == contract.INBOUND
     return (
         shipment_table.filter(F.col("shipment_status") == "COMPLETED")
         .join(product_table.select("product_id", "storage_area"), "product_id", "left")
         .select(
-            _numbered("TX-M", 12, number).alias("transaction_id"),
+            F.concat(F.lit("TX-M-"), "shipment_id").alias("transaction_id"),
             "shipment_id",
             "product_id",
             "warehouse_id",
@@ -210,15 +214,14 @@ def movements_from_shipments(
 
 def operational_events(
     ids: DataFrame,
-    product_table: DataFrame,
-    product_numbers: range,
+    ranked: DataFrame,
+    product_count: int,
     as_of: str | date,
     seed: int = DEFAULT_SEED,
 ) -> DataFrame:
     """Put-aways, transfers and adjustments between the start of the history and `as_of`.
 
-    Products are drawn by the number in their id; `product_numbers` is the gapless range
-    of these numbers.
+    Products are drawn by their rank among `product_count`, see `ranked_products`.
     """
     share = draw(_id(), seed, 5, sum(weight for _, weight in OPERATION_SHARES))
     kind, reached = F, 0
@@ -235,17 +238,8 @@ def operational_events(
         .otherwise(moved)
     )
     first_day = F.date_sub(F.lit(as_date(as_of)), HISTORY_DAYS)
-    numbered = product_table.select(
-        _number_in("product_id").alias("product_number"), "product_id", "storage_area"
-    )
-    drawn = ids.select(
-        "id",
-        (draw(_id(), seed, 4, len(product_numbers)) + F.lit(product_numbers.start).cast("bigint")).alias(
-            "product_number"
-        ),
-        kind.alias("transaction_type"),
-    )
-    return drawn.join(numbered, "product_number").select(
+    drawn = ids.select("id", draw(_id(), seed, 4, max(product_count, 1)).cast("bigint").alias("rank"), kind.alias("transaction_type"))
+    return drawn.join(ranked, "rank").select(
         _numbered("TX-E", 12, _id()).alias("transaction_id"),
         F.lit(None).cast("string").alias("shipment_id"),
         "product_id",
@@ -258,18 +252,20 @@ def operational_events(
     )
 
 
-def product_numbers(product_table: DataFrame) -> range:
-    """The range of the numbers in the product ids, which must have no gaps or repeats."""
-    number = _number_in("product_id")
-    found = product_table.agg(
-        F.min(number).alias("first"), F.max(number).alias("last"), F.count("*").alias("products")
-    ).first()
-    if not found["products"]:
-        return range(0)
-    numbers = range(found["first"], found["last"] + 1)
-    if len(numbers) != found["products"]:
-        raise ValueError("product numbers must be consecutive to be drawn from")
-    return numbers
+def ranked_products(product_table: DataFrame) -> DataFrame:
+    """rank (0, 1, ... by id), product_id and storage_area of the products with an id.
+
+    Ranks are places within a range of ids plus the counts of the ranges before it, so no
+    task sees more than a range. The ranges are fixed in a written table.
+    """
+    known = product_table.filter(F.col("product_id").isNotNull()).select("product_id", "storage_area")
+    ranged = written(known.repartitionByRange("product_id").withColumn("part", F.spark_partition_id()), "ranked-products")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("product_id")) - 1
+    return ranged.withColumn("place", place).join(starts, "part").select(
+        (F.col("start") + F.col("place")).alias("rank"), "product_id", "storage_area"
+    )
 
 
 def drawn_ledger(
@@ -279,16 +275,20 @@ def drawn_ledger(
     as_of: str | date,
     seed: int = DEFAULT_SEED,
 ) -> DataFrame:
-    """Opening balances and postings, topped up with operational events to `transaction_count` rows."""
-    numbers = product_numbers(product_table)
-    check_ledger_size(transaction_count, len(numbers))
-    posted = shipment_table.filter(F.col("shipment_status") == "COMPLETED").count()
-    missing = max(0, transaction_count - len(numbers) * len(contract.WAREHOUSES) - posted)
+    """Opening balances and postings, topped up with operational events to `transaction_count` rows.
+
+    Products and postings are written once; their sizes come from the written tables.
+    """
+    ranked = ranked_products(product_table)
+    products_there = ranked.count()
+    check_ledger_size(transaction_count, products_there)
+    postings = written(movements_from_shipments(shipment_table, product_table, seed), "postings")
+    missing = max(0, transaction_count - products_there * len(contract.WAREHOUSES) - postings.count())
     ids = product_table.sparkSession.range(missing)
     return (
-        opening_balances(product_table, as_of, seed)
-        .unionByName(movements_from_shipments(shipment_table, product_table, seed))
-        .unionByName(operational_events(ids, product_table, numbers, as_of, seed))
+        opening_balances(ranked, as_of, seed)
+        .unionByName(postings)
+        .unionByName(operational_events(ids, ranked, products_there, as_of, seed))
     )
 
 

@@ -1,73 +1,27 @@
 """Running totals along each key's ordered events.
 
 Events of a (product, warehouse) key are ordered by date, arrivals before departures,
-then shipment id. Two layouts give the same numbers:
-
-``by_key``
-    one window group per key. One shuffle, shared with the join to the opening stock
-    and with everything later that works per key.
-
-``by_block``
-    for keys too large for one task. The events are range-partitioned by their full
-    order, so a large key is spread over many blocks. Windows run inside a block and
-    one small row per (block, key) carries the totals of the earlier blocks.
-
-``auto`` counts the events of the largest key first and picks between the two.
+then shipment id. They are range-partitioned by key and this order into blocks, so a large
+key is spread over many blocks, even one key on one day in one direction. Windows run
+inside (block, key), and one small row per (block, key) carries the totals of the earlier
+blocks onward. The layout is the same for every size of data; only the number of blocks is
+a parameter, by default the session's number of shuffle partitions.
 """
 
 from __future__ import annotations
 
-import math
-from datetime import date
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.contract import STOCK_KEY
-from stockflow.operators.events import future_events, stock_moves, with_opening_stock
+from stockflow.operators.events import stock_moves, with_opening_stock
 from stockflow.session import written
 
 EVENT_ORDER = ["scheduled_date", "event_priority", "shipment_id"]
-LAYOUTS = ("auto", "by_key", "by_block")
-
-# About 100 bytes per event: one window group then sorts some 100 MB.
-MAX_EVENTS_PER_KEY = 1_000_000
-
-
-def largest_key(schedule: DataFrame, as_of: str | date) -> tuple[int, int]:
-    """(events of the largest key, events in all).
-
-    The count may run on the raw schedule: deduplication and validation only remove
-    rows, so the raw count is an upper bound, and it needs a scan of four columns and
-    a shuffle of one row per key and task.
-    """
-    sizes = future_events(schedule, as_of).dropna(subset=STOCK_KEY).groupBy(*STOCK_KEY).count()
-    found = sizes.agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
-    return found["largest"] or 0, found["total"] or 0
-
+IN_BLOCK = ["block", *STOCK_KEY]
 
-def choose_layout(
-    schedule: DataFrame,
-    as_of: str | date,
-    layout: str = "auto",
-    max_events_per_key: int = MAX_EVENTS_PER_KEY,
-) -> int:
-    """The number of blocks to lay the events out in; 0 stands for one group per key."""
-    if layout not in LAYOUTS:
-        raise ValueError(f"unknown layout {layout!r}: use one of {LAYOUTS}")
-    if layout == "by_key":
-        return 0
-    # a schedule that is small as a whole has no large key; Parquet counts from its footers
-    if layout == "auto" and schedule.count() <= max_events_per_key:
-        return 0
-    largest, total = largest_key(schedule, as_of)
-    if layout == "auto" and largest <= max_events_per_key:
-        return 0
-    # twice as many blocks as the limit asks for, as range bounds come from a sample
-    return max(2, 2 * math.ceil(total / max_events_per_key))
 
-
-def running_totals(events: DataFrame, inventory: DataFrame, blocks: int = 0) -> DataFrame:
+def running_totals(events: DataFrame, inventory: DataFrame, blocks: int | None = None) -> DataFrame:
     """The stock moves of valid future `events` with opening stock and running totals.
 
     Columns next to those of the moves:
@@ -76,40 +30,20 @@ def running_totals(events: DataFrame, inventory: DataFrame, blocks: int = 0) ->
     * ``prior_net_events``: net of the strictly earlier events, 0 for the first
     * ``running_total``: opening stock plus all events up to and including this one
     * ``lowest_before``: lowest running total among the strictly earlier events
-    * ``block``: with blocks only, the block of the event
+    * ``block``: the block of the event
     """
-    moves = stock_moves(events)
-    if blocks:
-        return _totals_by_block(moves, inventory, blocks)
-    return (
-        with_opening_stock(moves, inventory)
-        .withColumn("_net", F.sum("signed_quantity").over(_frame(STOCK_KEY, Window.currentRow)))
-        .withColumn("running_total", F.col("current_inventory") + F.col("_net"))
-        .withColumn("lowest_before", F.min("running_total").over(_frame(STOCK_KEY, -1)))
-        .withColumn("prior_net_events", F.col("_net") - F.col("signed_quantity"))
-        .drop("_net")
-    )
-
-
-def _frame(keys: list[str], last_row: int):
-    """All events of the group up to `last_row`, in event order."""
-    ordered = Window.partitionBy(*keys).orderBy(*EVENT_ORDER)
-    return ordered.rowsBetween(Window.unboundedPreceding, last_row)
-
-
-def _totals_by_block(moves: DataFrame, inventory: DataFrame, blocks: int) -> DataFrame:
+    blocks = blocks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The bounds of a range partitioning come from a sample and may differ when it is
     # computed again. Writing the table fixes which event is in which block.
-    ranged = moves.repartitionByRange(blocks, *STOCK_KEY, *EVENT_ORDER)
+    ranged = stock_moves(events).repartitionByRange(blocks, *STOCK_KEY, *EVENT_ORDER)
     laid_out = written(ranged.withColumn("block", F.spark_partition_id()), "event-blocks")
-    in_block = ["block", *STOCK_KEY]
     local = (
-        laid_out.withColumn("_net", F.sum("signed_quantity").over(_frame(in_block, Window.currentRow)))
-        .withColumn("_low_before", F.min("_net").over(_frame(in_block, -1)))
+        laid_out.withColumn("_net", F.sum("signed_quantity").over(_frame(Window.currentRow)))
+        .withColumn("_low_before", F.min("_net").over(_frame(-1)))
     )
     # One row per (block, key): a key has at most one row per block, so the windows
     # over these rows stay small.
-    parts = local.groupBy(*in_block).agg(
+    parts = local.groupBy(*IN_BLOCK).agg(
         F.sum("signed_quantity").alias("_part_net"), F.min("_net").alias("_part_low")
     )
     earlier = (
@@ -120,12 +54,17 @@ def _totals_by_block(moves: DataFrame, inventory: DataFrame, blocks: int) -> Dat
         .withColumn("_carried_net", F.coalesce(F.sum("_part_net").over(earlier), F.lit(0)))
         .withColumn("_start", F.col("current_inventory") + F.col("_carried_net"))
         .withColumn("_carried_low", F.min(F.col("_start") + F.col("_part_low")).over(earlier))
-        .select(*in_block, "current_inventory", "_carried_net", "_start", "_carried_low")
+        .select(*IN_BLOCK, "current_inventory", "_carried_net", "_start", "_carried_low")
     )
     return (
-        local.join(carried, in_block)
+        local.join(carried, IN_BLOCK)
         .withColumn("running_total", F.col("_start") + F.col("_net"))
         .withColumn("lowest_before", F.least("_carried_low", F.col("_start") + F.col("_low_before")))
         .withColumn("prior_net_events", F.col("_carried_net") + F.col("_net") - F.col("signed_quantity"))
         .drop("_net", "_low_before", "_carried_net", "_start", "_carried_low")
     )
+
+
+def _frame(last_row: int):
+    """The key's events within the block up to `last_row`, in event order."""
+    return Window.partitionBy(*IN_BLOCK).orderBy(*EVENT_ORDER).rowsBetween(Window.unboundedPreceding, last_row)

@@ -181,10 +181,15 @@ def _quality(name: str, raw: str, once: str, rules: dict[str, str]) -> str:
 
 def _draw(number: str, purpose: int, size: int | str, seed: int = generate.DEFAULT_SEED) -> str:
     modulus, factor, step = columns.DRAW_MODULUS, columns.DRAW_FACTOR, columns.DRAW_STEP
-    first = f"((CAST({number} AS BIGINT) % {modulus} * {factor} + {(seed * 7919 + purpose) * step}) % {modulus})"
+    number, start = f"CAST({number} AS BIGINT)", columns.draw_start(seed, purpose)
+    first = f"(({number} % {modulus} * {factor} + ({number} >> 31) % {modulus} * {step} + {start}) % {modulus})"
     return f"CAST(({first} * {first} + {step * purpose}) % {modulus} % {size} AS INT)"
 
 
+def _text_number(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+
 def _pick(values, index: str) -> str:
     cases = " ".join(f"WHEN {i} THEN {v!r}" for i, v in enumerate(values))
     return f"CASE {index} {cases} END"
@@ -193,65 +198,79 @@ def _pick(values, index: str) -> str:
 WAREHOUSE_CYCLE = ["WH-EAST", "WH-CENTRAL", "WH-WEST"]
 LINE_IDS = "(SELECT DISTINCT l_orderkey * 8 + l_linenumber AS id FROM lineitem)"
 
+G = generate
+_PLANNED = f"CAST(id % {G.PLANNED_SPAN} + {G.PLANNED_FIRST} AS INT)"
+_SCHEDULED = f"id % {G.SCHEDULE_DAYS}"
+_FIRST_DAY = f"DATE '{G.FIRST_DAY}'"
+
+
+def _cycled(values) -> str:
+    return _pick(list(values), f"id % {len(list(values))}")
+
+
+def _ledger_quantity() -> str:
+    """Sign and size by type, from the table that the generator has too."""
+    lines = []
+    for k, (sign, span) in enumerate(G.LEDGER_TYPES.values()):
+        factor = "(1 - id % 2 * 2)" if sign is None else sign
+        lines.append(f"WHEN {k} THEN {factor} * (id % {span} + 1)")
+    return f"CASE id % {len(G.LEDGER_TYPES)} {' '.join(lines)} END"
+
+
 GEN_PRODUCTS = f"""
     SELECT printf('PRD-%05d', id + 1) AS product_id,
-           {_pick(generate.CATEGORIES, "id % 5")} AS product_category,
-           {_pick(generate.PACKAGING, "id % 4")} AS packaging_type,
-           CAST(36 + 12 * (id % 5) AS INT) AS standard_units_per_pallet,
-           'AREA-' || (id % 12 + 1) AS storage_area,
-           CAST(id % 28 + 8 AS INT) AS safety_stock_pallets
+           {_cycled(G.CATEGORIES)} AS product_category,
+           {_cycled(G.PACKAGING)} AS packaging_type,
+           CAST(id % {G.UNITS_KINDS} * {G.UNITS_STEP} + {G.UNITS_FIRST} AS INT) AS standard_units_per_pallet,
+           'AREA-' || (id % {G.AREAS} + 1) AS storage_area,
+           CAST(id % {G.SAFETY_SPAN} + {G.SAFETY_FIRST} AS INT) AS safety_stock_pallets
     FROM (SELECT p_partkey AS id FROM part)"""
 
 GEN_SHIPMENTS = f"""
     SELECT printf('SHP-%010d', id + 1) AS shipment_id,
-           printf('PRD-%05d', id % 10000 + 1) AS product_id,
-           {_pick(WAREHOUSE_CYCLE, "id % 3")} AS warehouse_id,
-           DATE '2026-04-01' + CAST(id % 211 AS INT) AS scheduled_date,
-           CAST(id % 52 + 4 AS INT) AS planned_pallet_quantity,
-           CASE WHEN id % 211 <= 122 THEN CAST(id % 52 + 4 AS INT) END AS actual_pallet_quantity,
-           CASE WHEN id % 100 < 47 THEN 'INBOUND' ELSE 'OUTBOUND' END AS shipment_type,
-           CASE WHEN id % 97 = 0 THEN 'CANCELLED' WHEN id % 31 = 0 THEN 'DELAYED'
-                WHEN id % 211 <= 122 THEN 'COMPLETED' ELSE 'SCHEDULED' END AS shipment_status
+           printf('PRD-%05d', id % {G.DEFAULT_PRODUCTS} + 1) AS product_id,
+           {_cycled(WAREHOUSE_CYCLE)} AS warehouse_id,
+           {_FIRST_DAY} + CAST({_SCHEDULED} AS INT) AS scheduled_date,
+           {_PLANNED} AS planned_pallet_quantity,
+           CASE WHEN {_SCHEDULED} <= {G.LAST_COMPLETED_DAY} THEN {_PLANNED} END AS actual_pallet_quantity,
+           CASE WHEN id % 100 < {G.INBOUND_PERCENT} THEN 'INBOUND' ELSE 'OUTBOUND' END AS shipment_type,
+           CASE WHEN id % {G.CANCELLED_EVERY} = 0 THEN 'CANCELLED' WHEN id % {G.DELAYED_EVERY} = 0 THEN 'DELAYED'
+                WHEN {_SCHEDULED} <= {G.LAST_COMPLETED_DAY} THEN 'COMPLETED' ELSE 'SCHEDULED' END AS shipment_status
     FROM {LINE_IDS}"""
 
 GEN_TRANSACTIONS = f"""
     SELECT printf('TX-%012d', id + 1) AS transaction_id,
-           CASE WHEN id % 4 < 2 THEN printf('SHP-%010d', id % 10000000 + 1) END AS shipment_id,
-           printf('PRD-%05d', id % 10000 + 1) AS product_id,
-           {_pick(WAREHOUSE_CYCLE, "id % 3")} AS warehouse_id,
-           DATE '2026-04-01' + CAST(id % 123 AS INT) AS transaction_date,
-           CASE id % 6 WHEN 0 THEN 'RECEIPT' WHEN 1 THEN 'SHIPMENT' WHEN 2 THEN 'TRANSFER_IN'
-                WHEN 3 THEN 'TRANSFER_OUT' WHEN 4 THEN 'PUTAWAY' ELSE 'ADJUSTMENT' END AS transaction_type,
-           CAST(CASE id % 6 WHEN 1 THEN -(id % 48 + 1) WHEN 3 THEN -(id % 18 + 1) WHEN 4 THEN 0
-                WHEN 5 THEN (CASE WHEN id % 2 = 0 THEN 1 ELSE -1 END) * (id % 8 + 1)
-                ELSE id % 55 + 1 END AS INT) AS pallet_quantity,
-           'LOC-' || (id % 40 + 1) AS source_location,
-           'LOC-' || (id % 40 + 2) AS destination_location
+           CASE WHEN id % 4 < {G.LINKED_OF_FOUR} THEN printf('SHP-%010d', id % {G.DEFAULT_SHIPMENTS} + 1) END AS shipment_id,
+           printf('PRD-%05d', id % {G.DEFAULT_PRODUCTS} + 1) AS product_id,
+           {_cycled(WAREHOUSE_CYCLE)} AS warehouse_id,
+           {_FIRST_DAY} + CAST(id % {G.LEDGER_DAYS} AS INT) AS transaction_date,
+           {_cycled(G.LEDGER_TYPES)} AS transaction_type,
+           CAST({_ledger_quantity()} AS INT) AS pallet_quantity,
+           'LOC-' || (id % {G.LOCATIONS} + 1) AS source_location,
+           'LOC-' || (id % {G.LOCATIONS} + 2) AS destination_location
     FROM {LINE_IDS}"""
 
-_PRODUCT_NUMBER = "CAST(regexp_replace(product_id, '[^0-9]', '', 'g') AS BIGINT)"
-_SHIPMENT_NUMBER = "CAST(regexp_replace(shipment_id, '[^0-9]', '', 'g') AS BIGINT)"
-
 OPENING = f"""
-    SELECT printf('TX-O%012d', k) AS transaction_id, CAST(NULL AS VARCHAR) AS shipment_id,
+    SELECT 'TX-O-' || product_id || '-' || w AS transaction_id, CAST(NULL AS VARCHAR) AS shipment_id,
            product_id, warehouse_id, {AS_OF} - 120 AS transaction_date,
            'ADJUSTMENT' AS transaction_type, 35 + {_draw("k", 1, 146)} AS pallet_quantity,
            'OPENING' AS source_location, storage_area AS destination_location
-    FROM (SELECT *, {_PRODUCT_NUMBER} * 3 + w AS k
+    FROM (SELECT *, {_text_number("product_id")} * 3 + w AS k
           FROM products
           CROSS JOIN (VALUES (0, 'WH-EAST'), (1, 'WH-CENTRAL'), (2, 'WH-WEST')) AS v(w, warehouse_id))"""
 
 MOVEMENTS = f"""
-    SELECT printf('TX-M%012d', k) AS transaction_id, shipment_id, product_id, warehouse_id,
+    SELECT 'TX-M-' || shipment_id AS transaction_id, shipment_id, product_id, warehouse_id,
            scheduled_date + lag_days AS transaction_date,
            CASE WHEN shipment_type = 'INBOUND' THEN 'RECEIPT' ELSE 'SHIPMENT' END AS transaction_type,
            CASE WHEN shipment_type = 'INBOUND' THEN actual ELSE -actual END AS pallet_quantity,
            CASE WHEN shipment_type = 'INBOUND' THEN 'DOCK' ELSE storage_area END AS source_location,
            CASE WHEN shipment_type = 'INBOUND' THEN storage_area ELSE 'CUSTOMER' END AS destination_location
-    FROM (SELECT *, greatest(planned_pallet_quantity
-                             + {_pick([-3, -2, -1, 0, 0, 0, 1, 2], _draw("k", 2, 8))}, 0) AS actual,
+    FROM (SELECT *, coalesce(actual_pallet_quantity,
+                             greatest(planned_pallet_quantity
+                                      + {_pick([-3, -2, -1, 0, 0, 0, 1, 2], _draw("k", 2, 8))}, 0)) AS actual,
                  {_pick([0, 0, 0, 1], _draw("k", 3, 4))} AS lag_days
-          FROM (SELECT *, {_SHIPMENT_NUMBER} AS k FROM shipments WHERE shipment_status = 'COMPLETED')
+          FROM (SELECT *, {_text_number("shipment_id")} AS k FROM shipments WHERE shipment_status = 'COMPLETED')
           LEFT JOIN (SELECT product_id, storage_area FROM products) USING (product_id))"""
 
 OPERATIONS = f"""
@@ -260,8 +279,7 @@ OPERATIONS = f"""
            CASE transaction_type WHEN 'PUTAWAY' THEN 0 WHEN 'TRANSFER_OUT' THEN -moved
                 WHEN 'ADJUSTMENT' THEN adjusted ELSE moved END AS pallet_quantity,
            'STAGING' AS source_location, storage_area AS destination_location
-    FROM (SELECT id, {_draw("id", 4, "(SELECT count(*) FROM products)")}
-                   + (SELECT min({_PRODUCT_NUMBER}) FROM products) AS drawn_product,
+    FROM (SELECT id, {_draw("id", 4, "(SELECT count(*) FROM products)")} AS drawn_product,
                  CASE WHEN {_draw("id", 5, 100)} < 45 THEN 'PUTAWAY'
                       WHEN {_draw("id", 5, 100)} < 63 THEN 'TRANSFER_IN'
                       WHEN {_draw("id", 5, 100)} < 81 THEN 'TRANSFER_OUT' ELSE 'ADJUSTMENT' END AS transaction_type,
@@ -273,8 +291,8 @@ OPERATIONS = f"""
           WHERE id < (SELECT count(*) FROM inventory_transactions)
                      - 3 * (SELECT count(*) FROM products)
                      - (SELECT count(*) FROM shipments WHERE shipment_status = 'COMPLETED'))
-    JOIN (SELECT product_id, storage_area, {_PRODUCT_NUMBER} AS product_number FROM products)
-      ON product_number = drawn_product"""
+    JOIN (SELECT product_id, storage_area, row_number() OVER (ORDER BY product_id) - 1 AS rank FROM products)
+      ON rank = drawn_product"""
 
 # --- statements --------------------------------------------------------------------------
 
@@ -365,13 +383,13 @@ ORACLE_SQL: dict[str, str] = {
         """SELECT shipment_id, product_id, warehouse_id, scheduled_date, planned_pallet_quantity,
                   missing_pallets, readiness_status, earliest_available_date
            FROM netted_readiness WHERE readiness_status IN ('AT_RISK', 'SHORT', 'WAITING_FOR_INBOUND')
-           ORDER BY scheduled_date, missing_pallets DESC"""
+           ORDER BY scheduled_date, missing_pallets DESC, shipment_id"""
     ),
     "shortage_by_warehouse": _sql(
         """SELECT warehouse_id,
                   count(*) FILTER (readiness_status IN ('SHORT', 'WAITING_FOR_INBOUND')) AS constrained_orders,
                   CAST(sum(missing_pallets) AS BIGINT) AS missing_pallets
-           FROM netted_readiness GROUP BY warehouse_id ORDER BY missing_pallets DESC"""
+           FROM netted_readiness GROUP BY warehouse_id ORDER BY missing_pallets DESC, warehouse_id"""
     ),
     "top_product_volume": _sql(
         f"SELECT * FROM ({VOLUME}) ORDER BY inbound_pallets + outbound_pallets DESC, product_id LIMIT 20"
@@ -424,6 +442,11 @@ ORACLE_SQL: dict[str, str] = {
         f"""SELECT * FROM (SELECT product_id, {DELAYS} FROM shipments GROUP BY product_id)
             WHERE delayed_shipments > 0 ORDER BY delayed_shipments DESC, product_id LIMIT 20"""
     ),
+    "key_profile": _sql(
+        """SELECT count(*) AS keys, CAST(sum(c) AS BIGINT) AS events, max(c) AS largest_key,
+                  CAST(sum(c) AS DOUBLE) / count(*) AS average_key
+           FROM (SELECT product_id, warehouse_id, count(*) AS c FROM events GROUP BY ALL)"""
+    ),
     "partition_profile": _sql(
         f"""SELECT warehouse_id, event_month, CAST(sum(c) AS BIGINT) AS shipments, count(*) AS products,
                    max(c) AS largest_product, CAST(sum(c) AS DOUBLE) / count(*) AS average_product
@@ -433,7 +456,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "plan_vs_posted": _sql(
         """SELECT shipment_id, shipment_type, planned_pallet_quantity, actual_pallet_quantity,
-                  coalesce(postings, 0) AS postings, posted_pallets
+                  coalesce(postings, 0) AS postings,
+                  coalesce(posted_pallets, 0) AS posted_pallets
            FROM shipments
            LEFT JOIN (SELECT shipment_id, count(*) AS postings,
                              CAST(sum(pallet_quantity) AS BIGINT) AS posted_pallets
@@ -480,3 +504,18 @@ ORACLE_SQL: dict[str, str] = {
     "movements_from_shipments": _sql(MOVEMENTS),
     "gen_ledger": _sql(f"{OPENING} UNION ALL {MOVEMENTS} UNION ALL {OPERATIONS}"),
 }
+
+# the same questions of the other policy, of the whole job and of published tables
+for _name in ("kpi_status_counts", "kpi_totals"):
+    ORACLE_SQL[f"{_name}_clamped"] = ORACLE_SQL[_name].replace("netted_readiness r", "clamped_readiness r").replace(
+        "FROM netted_readiness", "FROM clamped_readiness"
+    )
+ORACLE_SQL["job_summary"] = ORACLE_SQL["readiness_summary"]
+for _name, _asked in {
+    "published_attention": "attention_orders",
+    "published_shortage": "shortage_by_warehouse",
+    "published_volume": "top_product_volume",
+    "published_adjustments": "top_adjustments",
+    "published_delay_rate": "delay_rate",
+}.items():
+    ORACLE_SQL[_name] = ORACLE_SQL[_asked]

@@ -1,14 +1,15 @@
 """The whole job: read the inputs, publish clean tables, quarantine, stock and readiness.
 
-Each published table is written once and read back for the next step. That cuts the
-lineage at a durable table, so a lost executor costs one step at most, and no
-deduplication runs twice.
+Each published table is written once and read back, under its declared schema, for the next
+step. That cuts the lineage at a durable table, so a lost executor costs one step at most.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +20,10 @@ from stockflow.operators.balance import current_inventory
 from stockflow.operators.events import future_events
 from stockflow.operators.policies import NETTED
 from stockflow.operators.quality import SHIPMENT_RULES, TRANSACTION_RULES, Rules, is_valid
-from stockflow.operators.sequence import choose_layout, running_totals
+from stockflow.operators.sequence import running_totals
 from stockflow.plans.readiness import Horizon, Inputs, readiness_from_totals
 from stockflow.plans.reports import readiness_summary
-from stockflow.session import written
+from stockflow.session import scratch_removed
 from stockflow.sources import readers
 
 
@@ -35,13 +36,18 @@ def read_inputs(spark: SparkSession, folder: str, fmt: str = "parquet", keep_nul
     )
 
 
-def _checked(deduped: DataFrame, rules: Rules, name: str) -> DataFrame:
-    """Deduplicated rows with their verdict, written once for both sides of the split."""
-    return written(deduped.withColumn("is_valid", F.expr(is_valid(rules))), f"checked-{name}")
+def _publish_split(
+    deduped: DataFrame, rules: Rules, publish_valid: Callable[[DataFrame, str], None], path: str, quarantine: str
+) -> None:
+    """Publish the valid rows and quarantine the others.
 
-
-def _side(checked: DataFrame, valid: bool) -> DataFrame:
-    return checked.filter(F.col("is_valid") if valid else ~F.col("is_valid")).drop("is_valid")
+    Rows and verdict are held on the executors' disks between the two writes; what is lost
+    with an executor is computed again.
+    """
+    checked = deduped.withColumn("is_valid", F.expr(is_valid(rules))).persist(StorageLevel.DISK_ONLY)
+    publish_valid(checked.filter("is_valid").drop("is_valid"), path)
+    publish.quarantine(checked.filter("NOT is_valid").drop("is_valid"), quarantine)
+    checked.unpersist()
 
 
 def published_schedule(spark: SparkSession, folder: str, after: str | date) -> DataFrame:
@@ -69,26 +75,33 @@ def run(inputs: Inputs, folder: str, horizon: Horizon, policy: str = NETTED) ->
 
     publish.publish_table(inputs.products(), f"{folder}/{contract.PRODUCTS}")
 
-    checked = _checked(inputs.deduped_shipments(), SHIPMENT_RULES, contract.SHIPMENTS)
-    publish.publish_schedule(_side(checked, True), f"{folder}/{contract.SHIPMENTS}")
-    publish.quarantine(_side(checked, False), f"{folder}/quarantine/shipments")
-
-    checked = _checked(inputs.deduped_transactions(), TRANSACTION_RULES, contract.TRANSACTIONS)
-    publish.publish_ledger(_side(checked, True), f"{folder}/{contract.TRANSACTIONS}")
-    publish.quarantine(_side(checked, False), f"{folder}/quarantine/transactions")
+    _publish_split(
+        inputs.deduped_shipments(),
+        SHIPMENT_RULES,
+        publish.publish_schedule,
+        f"{folder}/{contract.SHIPMENTS}",
+        f"{folder}/quarantine/shipments",
+    )
+    _publish_split(
+        inputs.deduped_transactions(),
+        TRANSACTION_RULES,
+        publish.publish_ledger,
+        f"{folder}/{contract.TRANSACTIONS}",
+        f"{folder}/quarantine/transactions",
+    )
 
     stock = current_inventory(published_ledger(spark, folder, horizon.as_of), horizon.as_of)
     publish.publish_table(stock, f"{folder}/{contract.INVENTORY}")
 
-    schedule = published_schedule(spark, folder, horizon.as_of)
-    blocks = choose_layout(schedule, horizon.as_of, horizon.layout, horizon.max_events_per_key)
-    totals = running_totals(
-        future_events(schedule, horizon.as_of),
-        spark.read.parquet(f"{folder}/{contract.INVENTORY}"),
-        blocks,
-    )
-    products = readers.read_products(spark, folder)
-    publish.publish_readiness(
-        readiness_from_totals(totals, products, horizon.as_of, policy), f"{folder}/{contract.READINESS}"
-    )
-    return readiness_summary(spark.read.parquet(f"{folder}/{contract.READINESS}"))
+    with scratch_removed(spark):
+        totals = running_totals(
+            future_events(published_schedule(spark, folder, horizon.as_of), horizon.as_of),
+            spark.read.schema(contract.INVENTORY_SCHEMA).parquet(f"{folder}/{contract.INVENTORY}"),
+            horizon.blocks,
+        )
+        products = readers.read_products(spark, folder)
+        publish.publish_readiness(
+            readiness_from_totals(totals, products, horizon.as_of, policy), f"{folder}/{contract.READINESS}"
+        )
+    published = publish.read_back(spark, f"{folder}/{contract.READINESS}", contract.READINESS_SCHEMA)
+    return readiness_summary(published)

@@ -5,23 +5,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow import contract
 from stockflow.functions.columns import as_date
 from stockflow.operators.balance import current_inventory
-from stockflow.operators.cover import cover_dates
+from stockflow.operators.cover import arrival_days, arrival_level, cover_dates, first_cover, needed_level
 from stockflow.operators.dedup import dedup
 from stockflow.operators.events import future_events, with_safety_stock
-from stockflow.operators.policies import CLAMPED, NETTED, project
+from stockflow.operators.policies import CLAMPED, NETTED, POLICIES, project
 from stockflow.operators.quality import (
     SHIPMENT_RULES,
     TRANSACTION_RULES,
     rejected_rows,
     valid_rows,
 )
-from stockflow.operators.sequence import MAX_EVENTS_PER_KEY, choose_layout, running_totals
+from stockflow.operators.sequence import running_totals
 
 
 @dataclass(frozen=True)
@@ -57,22 +57,21 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Horizon:
-    """As-of date and the layout in which the events after it are worked on."""
+    """As-of date, and the number of blocks in which the events after it are worked on.
+
+    Without a number there are as many blocks as the session has shuffle partitions.
+    """
 
     as_of: str | date = contract.DEFAULT_AS_OF
-    layout: str = "auto"
-    max_events_per_key: int = MAX_EVENTS_PER_KEY
+    blocks: int | None = None
 
 
 def event_totals(inputs: Inputs, horizon: Horizon) -> DataFrame:
     """Future events with opening stock and running totals."""
-    blocks = choose_layout(
-        inputs.shipments_read, horizon.as_of, horizon.layout, horizon.max_events_per_key
-    )
     return running_totals(
         future_events(inputs.shipments(), horizon.as_of),
         current_inventory(inputs.transactions(), horizon.as_of),
-        blocks,
+        horizon.blocks,
     )
 
 
@@ -81,23 +80,27 @@ def projected_inventory(inputs: Inputs, horizon: Horizon, policy: str = NETTED)
     return project(event_totals(inputs, horizon), policy)
 
 
-def classify(orders: DataFrame, as_of: str | date) -> DataFrame:
-    """Readiness rows from orders with cover dates and safety stock."""
-    filled = F.col("missing_pallets") == 0
-    low = F.col("projected_inventory_after_order") < F.col("safety_stock_pallets")
-    covered = F.col("earliest_inbound_date").isNotNull()
-    status = (
-        F.when(filled & low, contract.AT_RISK)
+def readiness_status(missing: str, after: str, cover: str) -> Column:
+    filled = F.col(missing) == 0
+    return (
+        F.when(filled & (F.col(after) < F.col("safety_stock_pallets")), contract.AT_RISK)
         .when(filled, contract.READY)
-        .when(covered, contract.WAITING)
+        .when(F.col(cover).isNotNull(), contract.WAITING)
         .otherwise(contract.SHORT)
     )
+
+
+def available_date(missing: str, cover: str) -> Column:
+    return F.when(F.col(missing) == 0, F.col("scheduled_date")).otherwise(F.col(cover))
+
+
+def classify(orders: DataFrame, as_of: str | date) -> DataFrame:
+    """Readiness rows from orders with cover dates and safety stock."""
+    missing, cover = "missing_pallets", "earliest_inbound_date"
     return orders.withColumns(
         {
-            "readiness_status": status,
-            "earliest_available_date": F.when(filled, F.col("scheduled_date")).otherwise(
-                F.col("earliest_inbound_date")
-            ),
+            "readiness_status": readiness_status(missing, "projected_inventory_after_order", cover),
+            "earliest_available_date": available_date(missing, cover),
             "as_of_date": F.lit(as_date(as_of)),
         }
     ).select(*contract.column_names(contract.READINESS_SCHEMA))
@@ -118,14 +121,31 @@ def order_readiness(inputs: Inputs, horizon: Horizon, policy: str = NETTED) -> D
 def policy_differences(inputs: Inputs, horizon: Horizon) -> DataFrame:
     """Orders on which the two policies disagree in status, missing pallets or date.
 
-    Both readiness tables come from the same running totals and hold the same orders.
+    Both projections lie side by side on each event, and each day of arrivals has a level for
+    either policy. So both classifications come from one pass, without joining orders.
     """
-    totals = event_totals(inputs, horizon)
+    own = ["available_before_order", "missing_pallets", "projected_inventory_after_order"]
+    both = event_totals(inputs, horizon)
+    levels = {}
+    for policy in POLICIES:
+        both = project(both, policy).withColumns(
+            {f"{policy}_level": arrival_level(policy), f"{policy}_need": needed_level(policy)}
+        )
+        both = both.withColumnsRenamed({c: f"{policy}_{c}" for c in own})
+        levels[policy] = F.col(f"{policy}_level")
+    orders = both.filter(F.col("shipment_type") == contract.OUTBOUND)
+    orders = orders.join(arrival_days(both, levels), contract.STOCK_KEY, "left")
+    orders = with_safety_stock(orders, inputs.products())
     compared = ["readiness_status", "missing_pallets", "earliest_available_date"]
-
-    def side(policy: str) -> DataFrame:
-        table = readiness_from_totals(totals, inputs.products(), horizon.as_of, policy)
-        return table.select("shipment_id", *[F.col(c).alias(f"{policy}_{c}") for c in compared])
-
+    for policy in POLICIES:
+        missing, cover = f"{policy}_missing_pallets", f"{policy}_cover"
+        orders = orders.withColumn(cover, first_cover(policy, f"{policy}_need", missing)).withColumns(
+            {
+                f"{policy}_readiness_status": readiness_status(missing, f"{policy}_projected_inventory_after_order", cover),
+                f"{policy}_earliest_available_date": available_date(missing, cover),
+            }
+        )
     same = [F.col(f"{NETTED}_{c}").eqNullSafe(F.col(f"{CLAMPED}_{c}")) for c in compared]
-    return side(NETTED).join(side(CLAMPED), "shipment_id", "full").filter(~(same[0] & same[1] & same[2]))
+    return orders.filter(~(same[0] & same[1] & same[2])).select(
+        "shipment_id", *[f"{policy}_{c}" for policy in POLICIES for c in compared]
+    )

@@ -152,6 +152,8 @@ def volume_by_warehouse(shipments: DataFrame) -> DataFrame:
 def plan_vs_posted(shipments: DataFrame, transactions: DataFrame) -> DataFrame:
     """Completed shipments with planned, actual and posted pallets side by side.
 
+    A shipment without a posting has posted nothing: 0 postings, 0 pallets.
+
     Postings are summed per shipment before the join, so both sides are unique on the
     join key and ledger rows without a shipment never reach it.
     """
@@ -164,7 +166,7 @@ def plan_vs_posted(shipments: DataFrame, transactions: DataFrame) -> DataFrame:
         shipments.filter(_status("COMPLETED"))
         .select("shipment_id", "shipment_type", "planned_pallet_quantity", "actual_pallet_quantity")
         .join(posted, "shipment_id", "left")
-        .fillna(0, ["postings"])
+        .fillna(0, ["postings", "posted_pallets"])
     )
 
 
@@ -184,6 +186,17 @@ def partition_profile(shipments: DataFrame) -> DataFrame:
     )
 
 
+def key_profile(events: DataFrame) -> DataFrame:
+    """How evenly the events of the horizon are shared by the (product, warehouse) keys."""
+    per_key = events.groupBy(*contract.STOCK_KEY).agg(F.count("*").alias("events"))
+    return per_key.agg(
+        F.count("*").alias("keys"),
+        F.coalesce(F.sum("events"), F.lit(0)).alias("events"),
+        F.coalesce(F.max("events"), F.lit(0)).alias("largest_key"),
+        F.coalesce(F.sum("events") / F.count("*"), F.lit(0.0)).alias("average_key"),
+    )
+
+
 # --- summary figures -----------------------------------------------------------
 
 

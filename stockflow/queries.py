@@ -19,12 +19,14 @@ from stockflow.operators.events import (
     with_safety_stock,
 )
 from stockflow.operators.policies import CLAMPED, NETTED
+from stockflow.plans import job
 from stockflow.plans import readiness as plan
 from stockflow.plans import reports
 from stockflow.session import scratch_path
 from stockflow.sources import driver_tables, readers
 
 AS_OF = driver_tables.AS_OF
+MANY_BLOCKS = 64
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -37,12 +39,12 @@ def inputs(spark: SparkSession, sf_dir: str, keep_null_keys: bool = False) -> pl
     )
 
 
-def horizon(layout: str = "auto") -> plan.Horizon:
-    return plan.Horizon(AS_OF, layout)
+def horizon(blocks: int | None = None) -> plan.Horizon:
+    return plan.Horizon(AS_OF, blocks)
 
 
-def readiness(spark: SparkSession, sf_dir: str, policy: str = NETTED, layout: str = "auto") -> DataFrame:
-    return plan.order_readiness(inputs(spark, sf_dir), horizon(layout), policy)
+def readiness(spark: SparkSession, sf_dir: str, policy: str = NETTED, blocks: int | None = None) -> DataFrame:
+    return plan.order_readiness(inputs(spark, sf_dir), horizon(blocks), policy)
 
 
 # --- scans ---------------------------------------------------------------------
@@ -174,7 +176,7 @@ def publish_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "balance")
     publish.publish_table(current_inventory(inputs(spark, sf_dir).transactions(), AS_OF), path)
-    return spark.read.parquet(path)
+    return spark.read.schema(contract.INVENTORY_SCHEMA).parquet(path)
 
 
 def quarantine_shipments_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +197,76 @@ def export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_table(spark, path, contract.READINESS_SCHEMA, "csv")
 
 
+# --- the job, and reports as SQL over published tables -----------------------------------
+
+
+def job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job into a fresh folder; its answer is the summary of what it published."""
+    return job.run(inputs(spark, sf_dir), scratch_path(spark, "job"), horizon())
+
+
+def _publish(spark: SparkSession, sf_dir: str, table: str, path: str) -> None:
+    if table == contract.READINESS:
+        publish.publish_readiness(readiness(spark, sf_dir), path)
+    elif table == contract.SHIPMENTS:
+        publish.publish_schedule(inputs(spark, sf_dir).shipments(), path)
+    else:
+        publish.publish_ledger(inputs(spark, sf_dir).transactions(), path)
+
+
+def _over_published(table: str, sql: str) -> Query:
+    """Publish the one table that the report reads, and ask it in SQL."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_path(spark, "published")
+        _publish(spark, sf_dir, table, f"{folder}/{table}")
+        readers.register_published(spark, folder, [table])
+        return spark.sql(sql)
+
+    return query
+
+
+PUBLISHED_REPORTS = {
+    "published_attention": _over_published(
+        contract.READINESS,
+        """SELECT shipment_id, product_id, warehouse_id, scheduled_date, planned_pallet_quantity,
+                  missing_pallets, readiness_status, earliest_available_date
+           FROM order_readiness WHERE readiness_status <> 'READY'
+           ORDER BY scheduled_date, missing_pallets DESC, shipment_id""",
+    ),
+    "published_shortage": _over_published(
+        contract.READINESS,
+        """SELECT warehouse_id, count_if(missing_pallets > 0) AS constrained_orders,
+                  sum(missing_pallets) AS missing_pallets
+           FROM order_readiness GROUP BY warehouse_id ORDER BY 3 DESC, 1""",
+    ),
+    "published_volume": _over_published(
+        contract.SHIPMENTS,
+        """SELECT product_id,
+                  coalesce(sum(planned_pallet_quantity) FILTER (WHERE shipment_type = 'INBOUND'), 0)
+                    AS inbound_pallets,
+                  coalesce(sum(planned_pallet_quantity) FILTER (WHERE shipment_type = 'OUTBOUND'), 0)
+                    AS outbound_pallets
+           FROM shipment_schedule WHERE shipment_status <> 'CANCELLED'
+           GROUP BY product_id ORDER BY inbound_pallets + outbound_pallets DESC, product_id LIMIT 20""",
+    ),
+    "published_adjustments": _over_published(
+        contract.TRANSACTIONS,
+        """SELECT product_id, count(*) AS adjustment_events, sum(abs(pallet_quantity)) AS adjusted_pallets
+           FROM inventory_transactions WHERE transaction_type = 'ADJUSTMENT'
+           GROUP BY product_id ORDER BY adjusted_pallets DESC, product_id LIMIT 20""",
+    ),
+    "published_delay_rate": _over_published(
+        contract.SHIPMENTS,
+        """SELECT warehouse_id, shipment_type, delayed_shipments, total_shipments,
+                  ((delayed_shipments * 20000 + total_shipments) div (total_shipments * 2)) / 100.0D AS delay_rate_pct
+           FROM (SELECT warehouse_id, shipment_type, count_if(shipment_status = 'DELAYED') AS delayed_shipments,
+                        count(*) AS total_shipments
+                 FROM shipment_schedule GROUP BY warehouse_id, shipment_type)""",
+    ),
+}
+
+
 # --- generation, driven by the ids of the given tables --------------------------------
 
 
@@ -269,7 +341,7 @@ def _over_transactions(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "order_readiness": readiness,
-    "order_readiness_by_block": lambda s, d: readiness(s, d, layout="by_block"),
+    "order_readiness_by_block": lambda s, d: readiness(s, d, blocks=MANY_BLOCKS),
     "order_readiness_clamped": lambda s, d: readiness(s, d, CLAMPED).orderBy(
         "scheduled_date", "warehouse_id", "shipment_id"
     ),
@@ -316,6 +388,8 @@ QUERIES: dict[str, Query] = {
     # summary figures
     "kpi_status_counts": _over_readiness(reports.status_counts),
     "kpi_totals": _over_readiness(reports.readiness_totals),
+    "kpi_status_counts_clamped": lambda s, d: reports.status_counts(readiness(s, d, CLAMPED)),
+    "kpi_totals_clamped": lambda s, d: reports.readiness_totals(readiness(s, d, CLAMPED)),
     "kpi_top10_movement": _over_shipments(reports.top_movement),
     "kpi_dataset_sizes": lambda s, d: reports.dataset_sizes(
         driver_tables.products(s, d), driver_tables.shipments(s, d), driver_tables.transactions(s, d)
@@ -324,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "inventory_trend": _over_transactions(lambda t: inventory_trend(t, AS_OF)),
     "top_shortages": _over_readiness(reports.top_shortages),
     "top_delays": _over_shipments(reports.top_delays),
+    "key_profile": lambda s, d: reports.key_profile(future_events(inputs(s, d).shipments(), AS_OF)),
     "partition_profile": _over_shipments(reports.partition_profile),
     "plan_vs_posted": lambda s, d: reports.plan_vs_posted(
         inputs(s, d).shipments(), inputs(s, d).transactions()
@@ -337,6 +412,9 @@ QUERIES: dict[str, Query] = {
     "quarantine_shipments_sink": quarantine_shipments_sink,
     "quarantine_transactions_sink": quarantine_transactions_sink,
     "export_csv": export_csv,
+    # the job and reports over published tables
+    "job_summary": job_summary,
+    **PUBLISHED_REPORTS,
     # generation
     "gen_products": gen_products,
     "gen_shipments": gen_shipments,

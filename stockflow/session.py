@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,19 +38,22 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local session may fall back to a folder of this machine. The choice is
-    stored in the session, so that checkpoints and scratch tables end up together.
+    Only a session whose executors are threads of this process may do with a folder of this
+    machine; it is made once per application.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="stockflow-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _own_folder(context.applicationId)
+
+
+@lru_cache(1)
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="stockflow-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,5 +69,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     they need.
     """
     path = scratch_path(df.sparkSession, name)
+    for paths in _OPEN[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what `written` leaves behind within the block."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.remove(paths)
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table, wherever the shared folder lies."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

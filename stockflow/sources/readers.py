@@ -6,6 +6,8 @@ exported files can feed the same plans.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stockflow import contract
@@ -43,13 +45,25 @@ def read_transactions(spark: SparkSession, folder: str, fmt: str = "parquet") ->
     return read_table(spark, _location(folder, contract.TRANSACTIONS, fmt), contract.TRANSACTION_SCHEMA, fmt)
 
 
-def register_published(spark: SparkSession, folder: str) -> None:
-    """Expose a published folder to SQL under the contract's table names."""
-    for table in (
-        contract.PRODUCTS,
-        contract.SHIPMENTS,
-        contract.TRANSACTIONS,
-        contract.INVENTORY,
-        contract.READINESS,
-    ):
-        spark.read.parquet(f"{folder.rstrip('/')}/{table}").createOrReplaceTempView(table)
+# the published tables, and whether their files lie by warehouse and month
+PUBLISHED = {
+    contract.PRODUCTS: (contract.PRODUCT_SCHEMA, False),
+    contract.SHIPMENTS: (contract.SHIPMENT_SCHEMA, True),
+    contract.TRANSACTIONS: (contract.TRANSACTION_SCHEMA, True),
+    contract.INVENTORY: (contract.INVENTORY_SCHEMA, False),
+    contract.READINESS: (contract.READINESS_SCHEMA, True),
+}
+
+
+def published_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A published table under its declared schema, so that one without rows reads too."""
+    schema, by_month = PUBLISHED[table]
+    names = [*contract.column_names(schema), *(["event_month"] if by_month else [])]
+    declared = f"{schema}, event_month string" if by_month else schema
+    return spark.read.schema(declared).parquet(f"{folder.rstrip('/')}/{table}").select(*names)
+
+
+def register_published(spark: SparkSession, folder: str, tables: Iterable[str] = PUBLISHED) -> None:
+    """Expose published tables to SQL under the contract's table names."""
+    for table in tables:
+        published_table(spark, folder, table).createOrReplaceTempView(table)

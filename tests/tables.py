@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from datetime import date, timedelta
+from itertools import accumulate, islice
 
 from stockflow import contract
 from stockflow.plans.readiness import Inputs
@@ -40,44 +41,43 @@ def make_inputs(spark, products, shipments, ledger, keep_null_keys=False) -> Inp
     )
 
 
+def _levels(moves, opening):
+    """What each event finds, per policy: the debt is kept (netted) or written off (clamped)."""
+    owing = [*accumulate(moves, initial=opening)]
+    dropped = [*accumulate(moves, lambda held, x: max(held + x, 0), initial=opening)]
+    return {"netted": [max(x, 0) for x in owing[:-1]], "clamped": dropped[:-1]}
+
+
+def _netted_cover(events, found, k):
+    """The earliest arrival of a later date after which the order's whole quantity is there."""
+    when, _, planned, _ = events[k]
+    enough = [e[0] for e, held in zip(events, found) if e[1] == "I" and e[0] > when and held + e[2] >= planned]
+    return min(enough, default=None)
+
+
+def _clamped_cover(events, found, moves, k):
+    """The first event from which on what came in since, on top of what was there, is enough."""
+    reached = accumulate(moves[k + 1 :], initial=found[k])
+    later = zip(islice(reached, 1, None), events[k + 1 :])
+    return next((e[0] for total, e in later if total >= events[k][2]), None)
+
+
 def by_hand(stock, safety, events, policy):
     """{order id: (available, after, missing, status, earliest)} for the events of one key.
 
-    `events` are (date, direction, planned, id). One event after the other, no windows.
+    `events` are (date, direction, planned, id).
     """
     events = sorted(events, key=lambda e: (e[0], e[1] != "I", e[3]))
-    stock = max(stock, 0)
-    signed = [planned if direction == "I" else -planned for _, direction, planned, _ in events]
-    before, balance, net = [], stock, 0
-    for x in signed:
-        before.append(max(stock + net, 0) if policy == "netted" else balance)
-        net += x
-        balance = max(balance + x, 0)
+    moves = [planned if way == "I" else -planned for _, way, planned, _ in events]
+    found = _levels(moves, max(stock, 0))[policy]
     result = {}
-    for i, (when, direction, planned, name) in enumerate(events):
-        if direction == "I":
-            continue
-        missing, after = max(planned - before[i], 0), max(before[i] - planned, 0)
-        earliest = when if missing == 0 else None
-        if missing and policy == "netted":
-            covers = [
-                events[j][0]
-                for j in range(len(events))
-                if events[j][1] == "I" and events[j][0] > when and before[j] + events[j][2] >= planned
-            ]
-            earliest = min(covers, default=None)
-        elif missing:
-            reached = before[i]
-            for j in range(i + 1, len(events)):
-                reached += signed[j]
-                if reached >= planned:
-                    earliest = events[j][0]
-                    break
-        if missing == 0:
-            status = "AT_RISK" if after < safety else "READY"
-        else:
-            status = "WAITING_FOR_INBOUND" if earliest else "SHORT"
-        result[name] = (before[i], after, missing, status, earliest)
+    for k, (when, way, planned, name) in enumerate(events):
+        if way != "I":
+            gap, left = max(planned - found[k], 0), max(found[k] - planned, 0)
+            cover = _netted_cover(events, found, k) if policy == "netted" else _clamped_cover(events, found, moves, k)
+            filled = {True: "AT_RISK", False: "READY"}[left < safety], when
+            short = {True: "SHORT", False: "WAITING_FOR_INBOUND"}[cover is None], cover
+            result[name] = (found[k], left, gap, *(short if gap else filled))
     return result
 
 

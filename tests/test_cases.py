@@ -47,9 +47,9 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("layout", ["by_key", "by_block"])
+@pytest.mark.parametrize("blocks", [1, 5])
 @pytest.mark.parametrize("policy", ["netted", "clamped"])
-def test_hand_worked_cases(spark, policy, layout):
+def test_hand_worked_cases(spark, policy, blocks):
     products, shipments, ledger, expected = [], [], [], {}
     for name, (stock, safety, events, netted, clamped) in CASES.items():
         key = (name, "WH-EAST")
@@ -61,7 +61,7 @@ def test_hand_worked_cases(spark, policy, layout):
         ).items():
             expected[f"{name}-{i}"] = (before, after, missing, status, earliest and day(earliest))
     inputs = make_inputs(spark, products, shipments, ledger)
-    horizon = Horizon(AS_OF, layout, max_events_per_key=4)
+    horizon = Horizon(AS_OF, blocks)
     assert as_result(order_readiness(inputs, horizon, policy)) == expected
 
 
@@ -69,7 +69,7 @@ def test_policy_differences_lists_only_changed_orders(spark):
     events = [shipment(d, w, q, i) for d, w, q, i in CASES["policies_differ"][2]]
     same = [shipment(1, "O", 1, "z", ("PRD-2", "WH-EAST"))]
     inputs = make_inputs(spark, [product()], events + same, [ledger_row("t", 5)])
-    rows = policy_differences(inputs, Horizon(AS_OF, "by_key")).collect()
+    rows = policy_differences(inputs, Horizon(AS_OF, 2)).collect()
     assert {r["shipment_id"] for r in rows} == {"a", "c"}
 
 
@@ -77,7 +77,7 @@ def _ready(spark, shipments, ledger=(), products=(), policy="netted", **kwargs):
     ledger = list(ledger) or [ledger_row("none", 0)]
     products = list(products) or [product()]
     inputs = make_inputs(spark, products, shipments, ledger, **kwargs)
-    return as_result(order_readiness(inputs, Horizon(AS_OF, "by_key"), policy))
+    return as_result(order_readiness(inputs, Horizon(AS_OF, 2), policy))
 
 
 def test_ledger_counts_up_to_and_including_as_of(spark):
@@ -183,10 +183,8 @@ def test_unreadable_csv_cells_become_null(spark, tmp_path):
 def test_wrong_arguments_are_refused(spark):
     inputs = make_inputs(spark, [product()], [shipment(1, "O", 1, "a")], [ledger_row("t", 0)])
     with pytest.raises(ValueError):
-        order_readiness(inputs, Horizon("2026-13-01", "by_key"))
+        order_readiness(inputs, Horizon("2026-13-01"))
     with pytest.raises(ValueError):
-        order_readiness(inputs, Horizon(AS_OF, "by_luck"))
-    with pytest.raises(ValueError):
-        order_readiness(inputs, Horizon(AS_OF, "by_key"), "hopeful")
+        order_readiness(inputs, Horizon(AS_OF, 2), "hopeful")
     with pytest.raises(ValueError):
         read_table(spark, "/nowhere", contract.PRODUCT_SCHEMA, "xlsx")

@@ -1,5 +1,7 @@
 """Generated tables: contract, formulas, repeatability, and use as pipeline input."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,10 +84,10 @@ def test_drawn_ledger_has_the_requested_size_and_signs(spark, sf_dir):
 def test_draws_repeat_and_spread(spark):
     ids = spark.range(20000)
     drawn = ids.select(
-        "id", *[generate.draw(F.col("id"), 675, purpose, 100).alias(f"d{purpose}") for purpose in (4, 5)]
+        "id", *[generate.draw(F.col("id"), 7, purpose, 100).alias(f"d{purpose}") for purpose in (4, 5)]
     )
     again = spark.range(20000).repartition(7).select(
-        "id", *[generate.draw(F.col("id"), 675, purpose, 100).alias(f"d{purpose}") for purpose in (4, 5)]
+        "id", *[generate.draw(F.col("id"), 7, purpose, 100).alias(f"d{purpose}") for purpose in (4, 5)]
     )
     assert drawn.exceptAll(again).count() == 0
     for name in ("d4", "d5"):
@@ -105,3 +107,49 @@ def test_ledger_size_check(spark):
     generate.check_ledger_size(600, 200)
     with pytest.raises(ValueError):
         generate.check_ledger_size(599, 200)
+
+
+def _shipments(spark, names, actual=None):
+    rows = [(n, "PRD-1", "WH-EAST", datetime.date(2026, 7, 1), 50, actual, "INBOUND", "COMPLETED") for n in names]
+    return spark.createDataFrame(rows, contract.SHIPMENT_SCHEMA)
+
+
+def _products(spark, names):
+    return spark.createDataFrame([(n, "Food", "Bags", 36, "Secure", 5) for n in names], contract.PRODUCT_SCHEMA)
+
+
+def test_postings_of_any_ids_are_unique(spark):
+    names = ["SHP-1-11", "SHP-11-1", "no digits", "12345678901234567890", "x", "é"]
+    found = generate.movements_from_shipments(_shipments(spark, names), _products(spark, ["PRD-1"])).collect()
+    assert len({r["transaction_id"] for r in found}) == len(names)
+    assert all(47 <= r["pallet_quantity"] <= 52 for r in found)
+
+
+def test_postings_agree_with_the_schedule(spark, sf_dir):
+    data = named.inputs(spark, sf_dir)
+    posted = generate.movements_from_shipments(data.shipments(), data.products())
+    pairs = posted.select("shipment_id", "pallet_quantity").join(
+        data.shipments().select("shipment_id", "actual_pallet_quantity"), "shipment_id"
+    )
+    assert pairs.filter("actual_pallet_quantity IS NULL").count() == 0
+    assert pairs.filter("abs(pallet_quantity) <> actual_pallet_quantity").count() == 0 and pairs.count() > 0
+
+
+def test_ledger_over_products_with_gaps(spark):
+    products = _products(spark, ["PRD-1", "PRD-3", "other", "PRD-99999999999999999999"])
+    ranks = generate.ranked_products(products).collect()
+    assert sorted(r["rank"] for r in ranks) == [0, 1, 2, 3]
+    assert [r["product_id"] for r in sorted(ranks)] == sorted(r["product_id"] for r in ranks)
+    ledger = generate.drawn_ledger(products, _shipments(spark, ["a", "b"]), 300, "2026-08-01")
+    drawn = ledger.filter("source_location = 'STAGING'").select("product_id").distinct()
+    assert ledger.count() == 300 and ledger.select("transaction_id").distinct().count() == 300
+    assert drawn.count() == 4
+
+
+@pytest.mark.parametrize("seed", [2**40, 2_000_000, 0])
+def test_draws_of_large_seeds_and_ids(spark, seed):
+    ids = spark.range(2**31 + 5, 2**31 + 2005).union(spark.range(2000)).union(spark.range(2**62, 2**62 + 2000))
+    drawn = [r[0] for r in ids.select(generate.draw(F.col("id"), seed, 4, 1000)).collect()]
+    low, high, top = drawn[2000:4000], drawn[:2000], drawn[4000:]
+    assert min(drawn) >= 0 and max(drawn) < 1000
+    assert low != high and low != top and len(set(high)) > 600

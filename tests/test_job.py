@@ -2,59 +2,52 @@
 
 import datetime
 import json
+import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from tables import AS_OF as TABLES_AS_OF
+from tables import ledger_row, make_inputs, product, shipment
 
 from stockflow import contract
 from stockflow import queries as named
 from stockflow.operators import publish
 from stockflow.plans import job, reports
 from stockflow.plans.readiness import Horizon, order_readiness
+from stockflow.session import shared_folder
 from stockflow.sources import driver_tables, readers
 
 AS_OF = named.AS_OF
 
-SQL_REPORTS = {
-    "attention": (
-        reports.attention_orders,
-        contract.READINESS,
-        """SELECT shipment_id, product_id, warehouse_id, scheduled_date, planned_pallet_quantity,
-                  missing_pallets, readiness_status, earliest_available_date
-           FROM order_readiness WHERE readiness_status <> 'READY'""",
+# own questions over published tables, each with the same question asked of DataFrames
+QUESTIONS = {
+    "late_orders_by_status": (
+        """SELECT r.readiness_status, s.shipment_status, count(*) AS orders
+           FROM order_readiness r JOIN shipment_schedule s USING (shipment_id)
+           GROUP BY r.readiness_status, s.shipment_status""",
+        lambda t: t(contract.READINESS)
+        .select("shipment_id", "readiness_status")
+        .join(t(contract.SHIPMENTS).select("shipment_id", "shipment_status"), "shipment_id")
+        .groupBy("readiness_status", "shipment_status")
+        .agg(F.count("*").alias("orders")),
     ),
-    "shortage": (
-        reports.shortage_by_warehouse,
-        contract.READINESS,
-        """SELECT warehouse_id, count_if(readiness_status IN ('SHORT', 'WAITING_FOR_INBOUND'))
-                    AS constrained_orders, sum(missing_pallets) AS missing_pallets
-           FROM order_readiness GROUP BY warehouse_id""",
+    "moved_by_month": (
+        """SELECT event_month, transaction_type, sum(abs(pallet_quantity)) AS moved
+           FROM inventory_transactions GROUP BY event_month, transaction_type""",
+        lambda t: t(contract.TRANSACTIONS)
+        .groupBy("event_month", "transaction_type")
+        .agg(F.sum(F.abs("pallet_quantity")).alias("moved")),
     ),
-    "volume": (
-        reports.top_product_volume,
-        contract.SHIPMENTS,
-        """SELECT product_id,
-                  sum(if(shipment_type = 'INBOUND', planned_pallet_quantity, 0)) AS inbound_pallets,
-                  sum(if(shipment_type = 'OUTBOUND', planned_pallet_quantity, 0)) AS outbound_pallets
-           FROM shipment_schedule WHERE shipment_status <> 'CANCELLED' GROUP BY product_id
-           ORDER BY inbound_pallets + outbound_pallets DESC, product_id LIMIT 20""",
-    ),
-    "adjustments": (
-        reports.top_adjustments,
-        contract.TRANSACTIONS,
-        """SELECT product_id, count(*) AS adjustment_events, sum(abs(pallet_quantity)) AS adjusted_pallets
-           FROM inventory_transactions WHERE transaction_type = 'ADJUSTMENT' GROUP BY product_id
-           ORDER BY adjusted_pallets DESC, product_id LIMIT 20""",
-    ),
-    "delays": (
-        reports.delay_rate,
-        contract.SHIPMENTS,
-        """SELECT warehouse_id, shipment_type, count_if(shipment_status = 'DELAYED') AS delayed_shipments,
-                  count(*) AS total_shipments,
-                  cast(round(100.0 * count_if(shipment_status = 'DELAYED') / count(*), 2) AS double)
-                    AS delay_rate_pct
-           FROM shipment_schedule GROUP BY warehouse_id, shipment_type""",
+    "stocked_products_by_category": (
+        """SELECT product_category, count(DISTINCT product_id) AS products
+           FROM current_inventory JOIN product_reference USING (product_id)
+           WHERE current_inventory > 0 GROUP BY product_category""",
+        lambda t: t(contract.INVENTORY)
+        .filter("current_inventory > 0")
+        .join(t(contract.PRODUCTS).select("product_id", "product_category"), "product_id")
+        .groupBy("product_category")
+        .agg(F.count_distinct("product_id").alias("products")),
     ),
 }
 
@@ -112,16 +105,46 @@ def test_published_layout(published):
     assert set(json.loads(line)) == set(contract.column_names(contract.SHIPMENT_SCHEMA))
 
 
-@pytest.mark.parametrize("name", sorted(SQL_REPORTS))
+@pytest.mark.parametrize("name", sorted(QUESTIONS))
 def test_sql_over_published_tables(spark, published, name):
-    report, table, sql = SQL_REPORTS[name]
+    sql, same = QUESTIONS[name]
     folder, _ = published
     readers.register_published(spark, folder)
-    assert rows(spark.sql(sql)) == rows(report(spark.table(table)))
+    found = rows(spark.sql(sql))
+    assert found and found == rows(same(lambda table: readers.published_table(spark, folder, table)))
+
+
+def test_published_reports_read_their_columns_only(spark, sf_dir):
+    text = named.QUERIES["published_delay_rate"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ReadSchema: struct<(.*?)>", text).group(1) == "shipment_type:string,shipment_status:string"
+
+
+def test_job_with_nothing_after_the_as_of_date(spark, sf_dir, tmp_path):
+    summary = job.run(named.inputs(spark, sf_dir), str(tmp_path), Horizon("2030-01-01"))
+    assert summary.collect() == []
+    assert readers.published_table(spark, str(tmp_path), contract.READINESS).count() == 0
+
+
+@pytest.mark.parametrize("shipments", [[], [shipment(3, "O", 5, "s")], [shipment(3, "O", 0, "bad")]])
+def test_job_without_rejects_or_without_valid_rows(spark, tmp_path, shipments):
+    inputs = make_inputs(spark, [product()], shipments, [ledger_row("t", 9)])
+    valid = sum(s[4] > 0 for s in shipments)
+    assert job.run(inputs, str(tmp_path), Horizon(TABLES_AS_OF)).count() == valid
+    readers.register_published(spark, str(tmp_path))
+    assert spark.sql("SELECT * FROM order_readiness").count() == valid
+    rejects = spark.read.schema(contract.SHIPMENT_SCHEMA).json(f"{tmp_path}/quarantine/shipments")
+    assert rejects.count() == len(shipments) - valid
+
+
+def test_job_leaves_no_scratch(spark, sf_dir, tmp_path):
+    shared = Path(shared_folder(spark))
+    before = set(shared.iterdir())
+    job.run(named.inputs(spark, sf_dir), str(tmp_path), Horizon(AS_OF))
+    assert set(shared.iterdir()) == before
 
 
 def test_job_in_blocks_and_other_policy(spark, sf_dir, tmp_path):
-    horizon = Horizon(AS_OF, "by_block", max_events_per_key=100)
+    horizon = Horizon(AS_OF, 30)
     inputs = named.inputs(spark, sf_dir)
     job.run(inputs, str(tmp_path), horizon, "clamped")
     table = spark.read.schema(contract.READINESS_SCHEMA).parquet(f"{tmp_path}/{contract.READINESS}")
@@ -150,6 +173,6 @@ def test_incremental_keeps_other_partitions_and_static_replaces_all(spark, sf_di
 
 def test_later_as_of_date_moves_the_horizon(spark, sf_dir):
     inputs = named.inputs(spark, sf_dir)
-    later = order_readiness(inputs, Horizon("1999-12-31", "by_key"))
+    later = order_readiness(inputs, Horizon("1999-12-31"))
     first = later.agg(F.min("scheduled_date"), F.first("as_of_date")).first()
     assert first[0] > datetime.date(1999, 12, 31) and first[1] == datetime.date(1999, 12, 31)

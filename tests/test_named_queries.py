@@ -4,9 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+from stockflow.oracle import ORACLE_SQL as ORACLE
+from stockflow.queries import QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -2,11 +2,13 @@
 
 import re
 
+import compare
 import pytest
 
 from stockflow import contract
 from stockflow import queries as named
 from stockflow.operators import publish
+from stockflow.oracle import ORACLE_SQL
 from stockflow.plans import job, reports
 
 AS_OF = named.AS_OF
@@ -30,12 +32,7 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-# sinks and scans of written files run jobs and return plain scans
-PLANNED = [name for name in sorted(named.QUERIES) if not name.startswith(("scan_", "publish_", "export_"))]
-PLANNED = [name for name in PLANNED if not name.endswith("_sink")]
-
-
-@pytest.mark.parametrize("name", PLANNED)
+@pytest.mark.parametrize("name", sorted(named.QUERIES))
 def test_no_python_and_no_cross_product(name, spark, sf_dir):
     text = plan_of(named.QUERIES[name](spark, sf_dir))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
@@ -52,17 +49,56 @@ def test_stock_is_summed_before_the_shuffle(spark, sf_dir):
     assert re.search(r"HashAggregate.*[\s\S]*Exchange hashpartitioning\(product_id[\s\S]*partial_sum", text)
 
 
-def test_readiness_shuffles_each_table_twice(spark, sf_dir, no_broadcast):
-    """By id to deduplicate and by key for stock and events; cover reuses the event shuffle."""
+def test_readiness_reads_the_blocks_twice_at_most(spark, sf_dir, no_broadcast):
+    """Events move once to their block and once as orders to their key; sums and days are small."""
     text = final_plan_of(named.readiness(spark, sf_dir))
     own = "\n".join(line for line in text.splitlines() if "ReusedExchange" not in line)
     by = [re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", own)]
-    assert sum("shipment_id" in k for k in by) == 1
     assert sum("transaction_id" in k for k in by) == 1
-    assert by.count("product_id, warehouse_id") == 2
+    assert len(by) <= 12
+    assert own.count("event-blocks") <= 2
     assert "ReusedExchange" in text
-    # the rest belongs to the product dimension: dedup, and both sides of its join
-    assert len(by) - 4 <= 3
+
+
+def test_policies_are_compared_without_joining_orders(spark, sf_dir, no_broadcast):
+    text = final_plan_of(named.QUERIES["policy_diff"](spark, sf_dir))
+    assert not re.search(r"Join \[shipment_id", text)
+
+
+@pytest.mark.parametrize(
+    ("name", "keys"),
+    [
+        ("attention_orders", [("scheduled_date", 1), ("missing_pallets", -1), ("shipment_id", 1)]),
+        ("shortage_by_warehouse", [("missing_pallets", -1), ("warehouse_id", 1)]),
+        ("order_readiness_clamped", [("scheduled_date", 1), ("warehouse_id", 1), ("shipment_id", 1)]),
+        ("published_attention", [("scheduled_date", 1), ("missing_pallets", -1), ("shipment_id", 1)]),
+        ("published_shortage", [("missing_pallets", -1), ("warehouse_id", 1)]),
+    ],
+)
+def test_result_order(spark, sf_dir, name, keys):
+    """Row by row, in the order of the SQL answer."""
+    result = named.QUERIES[name](spark, sf_dir)
+    names = sorted(result.columns)
+    ordering = ", ".join(f"{c} {'DESC' if way < 0 else 'ASC'}" for c, way in keys)
+    sql = f"SELECT {', '.join(names)} FROM ({ORACLE_SQL[name]}) ORDER BY {ordering}"
+    assert [tuple(r) for r in result.select(names).collect()] == compare.connect(sf_dir).execute(sql).fetchall()
+
+
+@pytest.mark.parametrize(
+    ("name", "key"),
+    [
+        ("top_product_volume", "inbound_pallets + outbound_pallets"),
+        ("top_adjustments", "adjusted_pallets"),
+        ("kpi_top10_movement", "total_pallets"),
+        ("top_delays", "delayed_shipments"),
+        ("top_shortages", "missing_pallets"),
+    ],
+)
+def test_top_reports_come_in_order(spark, sf_dir, name, key):
+    result = named.QUERIES[name](spark, sf_dir)
+    names = sorted(result.columns)
+    sql = f"SELECT {', '.join(names)} FROM ({ORACLE_SQL[name]}) ORDER BY {key} DESC, product_id"
+    assert [tuple(r) for r in result.select(names).collect()] == compare.connect(sf_dir).execute(sql).fetchall()
 
 
 def test_top_reports_never_sort_everything(spark, sf_dir):

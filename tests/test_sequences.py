@@ -1,12 +1,11 @@
-"""Random event sequences against a plain loop, in both layouts."""
+"""Random event sequences against plain loops, in any number of blocks."""
 
 import random
 
 import pytest
 from tables import AS_OF, as_result, by_hand_all, day, ledger_row, make_inputs, product, shipment
 
-from stockflow.operators.sequence import choose_layout, largest_key, running_totals
-from stockflow.plans.readiness import Horizon, event_totals, order_readiness
+from stockflow.plans.readiness import Horizon, event_totals, order_readiness, policy_differences
 
 
 def _random_plan(seed, keys, events, hot_share=0.0):
@@ -37,26 +36,22 @@ def _expected(stock, safety, planned, policy):
 
 
 @pytest.mark.parametrize("policy", ["netted", "clamped"])
-@pytest.mark.parametrize("layout", ["by_key", "by_block"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_many_keys_match_the_loop(spark, seed, layout, policy):
+def test_many_keys_match_the_loop(spark, seed, policy):
     plan = _random_plan(seed, keys=40, events=600)
-    horizon = Horizon(AS_OF, layout, max_events_per_key=90)
-    result = order_readiness(_inputs(spark, *plan), horizon, policy)
+    result = order_readiness(_inputs(spark, *plan), Horizon(AS_OF, 9), policy)
     assert as_result(result) == _expected(*plan, policy)
 
 
 @pytest.mark.parametrize("policy", ["netted", "clamped"])
-def test_a_key_with_most_events_is_spread_over_blocks(spark, policy):
-    plan = _random_plan(7, keys=12, events=800, hot_share=0.6)
+@pytest.mark.parametrize("blocks", [1, 2, 7, 64])
+def test_half_of_the_events_in_one_key(spark, blocks, policy):
+    plan = _random_plan(7, keys=12, events=800, hot_share=0.5)
     inputs = _inputs(spark, *plan)
-    horizon = Horizon(AS_OF, "auto", max_events_per_key=100)
-    largest, total = largest_key(inputs.shipments_read, AS_OF)
-    assert largest > 400 and total == 800
-    totals = event_totals(inputs, horizon)
-    sizes = [r["count"] for r in totals.groupBy("block", "product_id", "warehouse_id").count().collect()]
-    assert max(sizes) <= 100 and sum(sizes) == 800
-    assert as_result(order_readiness(inputs, horizon, policy)) == _expected(*plan, policy)
+    sizes = event_totals(inputs, Horizon(AS_OF, blocks)).groupBy("block", "product_id", "warehouse_id").count().collect()
+    largest = max(r["count"] for r in sizes)
+    assert sum(r["count"] for r in sizes) == 800 and (largest > 400 if blocks == 1 else largest < 2000 / blocks)
+    assert as_result(order_readiness(inputs, Horizon(AS_OF, blocks), policy)) == _expected(*plan, policy)
 
 
 def test_one_day_of_one_key_is_spread_too(spark):
@@ -64,35 +59,38 @@ def test_one_day_of_one_key_is_spread_too(spark):
     planned = [(("PRD-1", "WH-1"), (3, "O", 1, f"S{i:05d}")) for i in range(500)]
     plan = ({("PRD-1", "WH-1"): 120}, {"PRD-1": 5}, planned)
     inputs = _inputs(spark, *plan)
-    horizon = Horizon(AS_OF, "auto", max_events_per_key=50)
-    sizes = event_totals(inputs, horizon).groupBy("block").count().collect()
+    sizes = event_totals(inputs, Horizon(AS_OF, 20)).groupBy("block").count().collect()
     assert max(r["count"] for r in sizes) <= 50
-    assert as_result(order_readiness(inputs, horizon)) == _expected(*plan, "netted")
+    assert as_result(order_readiness(inputs, Horizon(AS_OF, 20))) == _expected(*plan, "netted")
 
 
-def test_layout_choice(spark):
-    inputs = _inputs(spark, *_random_plan(3, keys=5, events=100))
-    schedule = inputs.shipments_read
-    assert choose_layout(schedule, AS_OF, "by_key") == 0
-    assert choose_layout(schedule, AS_OF, "auto", 100) == 0
-    assert choose_layout(schedule, AS_OF, "auto", 60) == 0
-    assert choose_layout(schedule, AS_OF, "auto", 5) == 40
-    assert choose_layout(schedule, AS_OF, "by_block", 1000) == 2
+def test_blocks_come_from_the_session_and_not_from_the_data(spark):
+    """No job runs over the raw schedule to choose a layout: all sizes are laid out alike."""
+    for events in (5, 400):
+        inputs = _inputs(spark, *_random_plan(3, keys=5, events=events))
+        totals = event_totals(inputs, Horizon(AS_OF))
+        assert totals.agg({"block": "max"}).first()[0] < int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("policy", ["netted", "clamped"])
+def test_many_short_orders_and_arrival_days(spark, policy):
+    """One key with many short orders and days of arrivals."""
+    planned = [(("P", "W"), (d, "I", 30, f"I{d:05d}")) for d in range(1, 300)]
+    planned += [(("P", "W"), (1 + i % 7, "O", 1 + i % 40, f"O{i:05d}")) for i in range(900)]
+    plan = ({("P", "W"): 0}, {}, planned)
+    assert as_result(order_readiness(_inputs(spark, *plan), Horizon(AS_OF, 8), policy)) == _expected(*plan, policy)
 
 
 def test_no_events_at_all(spark):
     inputs = make_inputs(spark, [product()], [shipment(-1, "O", 5, "old")], [ledger_row("t", 5)])
-    for layout in ("auto", "by_block"):
-        assert order_readiness(inputs, Horizon(AS_OF, layout)).count() == 0
+    for blocks in (None, 3):
+        assert order_readiness(inputs, Horizon(AS_OF, blocks)).count() == 0
+        assert policy_differences(inputs, Horizon(AS_OF, blocks)).count() == 0
 
 
-def test_both_layouts_give_the_same_totals(spark):
+def test_policy_differences_are_those_of_the_two_tables(spark):
     inputs = _inputs(spark, *_random_plan(11, keys=20, events=400))
-    stock = inputs.transactions().groupBy("product_id", "warehouse_id").sum("pallet_quantity")
-    stock = stock.toDF("product_id", "warehouse_id", "current_inventory")
-    names = ["shipment_id", "current_inventory", "prior_net_events", "running_total", "lowest_before"]
-    one, many = (
-        sorted(map(tuple, running_totals(inputs.shipments(), stock, n).select(names).collect()), key=str)
-        for n in (0, 9)
-    )
-    assert one == many
+    horizon = Horizon(AS_OF, 5)
+    one, other = (as_result(order_readiness(inputs, horizon, p)) for p in ("netted", "clamped"))
+    differ = {name for name in one if (one[name][2:]) != (other[name][2:])}
+    assert {r["shipment_id"] for r in policy_differences(inputs, horizon).collect()} == differ and differ
