@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.llm import textbytes as tb
+from stockflow.llm.rows import ROW, packed, unpacked
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20  # of benchmark text that one pass searches for
@@ -290,5 +291,5 @@ def find_passages(
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no window of any item occurs."""
-    columns = documents.columns
-    return find_passages(documents, benchmark, columns).filter(F.size("hits") == 0).select(*columns)
+    found = find_passages(packed(documents), benchmark, [ROW])
+    return unpacked(found.filter(F.size("hits") == 0), documents.columns)

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import textbytes as tb
+from stockflow.llm.rows import ROW, packed, unpacked
 from stockflow.session import written
 
 LENGTHS = (3, 4)
@@ -254,6 +255,5 @@ LEAST_KNOWN = 0.1
 
 def accepted(documents: DataFrame, filters: LanguageFilters) -> DataFrame:
     """The documents in one of the learned languages."""
-    columns = documents.columns
-    kept = predict(documents, filters, columns).filter((F.col("lang_pred") != UNKNOWN) & (F.col("known") >= LEAST_KNOWN))
-    return kept.select(*columns)
+    found = predict(packed(documents), filters, [ROW])
+    return unpacked(found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("known") >= LEAST_KNOWN)), documents.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from stockflow.llm import mixing
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 # op6: windows of both sides as text; a short item is one window of its own length
@@ -59,7 +61,40 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN lowest USING (doc_id)
 """
 
+# op3: the queue as cumulative sums per source, cut at each source's target
+MIX = rf"""
+WITH doc AS (
+  SELECT doc_id, source, md5('{mixing.SEED}:' || doc_id) AS place,
+         CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')) AS BIGINT) AS size
+  FROM documents),
+source_total AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM doc GROUP BY source),
+weighted AS (
+  SELECT *, CAST(CASE rank % 3 {" ".join(f"WHEN {k} THEN {w}" for k, w in enumerate(mixing.WEIGHTS))} END AS DOUBLE) AS weight,
+         CAST(source_size * {mixing.COPIES} AS DOUBLE) AS cap, sum(source_size) OVER () * CAST({mixing.SHARE} AS DOUBLE) AS budget
+  FROM source_total),
+timed AS (
+  SELECT *, cap / weight AS done,
+         (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS reached
+  FROM weighted),
+target AS (
+  SELECT source, source_size,
+         CASE WHEN done > reached
+              THEN (SELECT arg_min(reached, (done, rank)) FROM timed WHERE done > reached) * weight ELSE cap END AS target
+  FROM timed),
+sent AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              AS before FROM doc)
+SELECT doc_id, size, source_size, target,
+       CAST(greatest(0, least(size, floor(target) - before))
+            + greatest(0, least(size, floor(target) - source_size - before)) AS BIGINT) AS taken
+FROM sent JOIN target ON sent.source IS NOT DISTINCT FROM target.source
+"""
+
 ORACLE_SQL = {
+    "op3_mixing_sources": MIX,
     "op6_benchmark_decontamination": BENCHMARK_HITS,
     "op10_ngram_jaccard_join": NEAR_DUPLICATES,
 }

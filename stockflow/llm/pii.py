@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import textbytes as tb
+from stockflow.llm.rows import packed, unpacked
 
 KEY = "an example key; production passes its own"
 ROUNDS = 10
@@ -304,4 +305,4 @@ def unmasked(documents: DataFrame, key: str = KEY) -> DataFrame:
 
 def pseudonymised(documents: DataFrame, key: str = KEY) -> DataFrame:
     """The columns of `documents`, with pseudonyms in text. Lengths stay, but for IPv4 fields."""
-    return masked(documents, key).drop("n_found")
+    return unpacked(masked(packed(documents), key), documents.columns, "text")
