@@ -11,15 +11,15 @@ BENCHMARK_HITS = rf"""
 WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id,
          list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
-                     x -> x <> '') AS w
+                     lambda x: x <> '') AS w
   FROM documents),
 item AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
-         list_filter(string_split_regex({LOWER.format("text")}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+         list_filter(string_split_regex({LOWER.format("text")}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
 item_window AS (
   SELECT DISTINCT item, least(len(w), 10) AS width,
-         unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), i -> array_to_string(w[i:i + 9], ' '))) AS words
+         unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS words
   FROM item WHERE len(w) > 0),
 width AS (SELECT DISTINCT width FROM item_window),
 doc_window AS (
@@ -39,11 +39,11 @@ FROM doc LEFT JOIN hit_word USING (r) LEFT JOIN hit_item USING (r)
 # op10: all pairs that share a shingle, then reachability over the links
 NEAR_DUPLICATES = rf"""
 WITH RECURSIVE doc AS (
-  SELECT doc_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 shingle AS (
   SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
-                                                i -> array_to_string(w[i:i + 3], ' '))) AS s
+                                                lambda i: array_to_string(w[i:i + 3], ' '))) AS s
   FROM doc WHERE len(w) > 0),
 size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
 common AS (
@@ -65,7 +65,7 @@ FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN lowest USING (doc_id)
 MIX = rf"""
 WITH doc AS (
   SELECT doc_id, source, md5('{mixing.SEED}:' || doc_id) AS place,
-         CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')) AS BIGINT) AS size
+         CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size
   FROM documents),
 source_total AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
