@@ -36,6 +36,7 @@ MIN_SHARE = 0.2
 PROBES = 2
 SLOTS_PER_GRAM = 16
 UNKNOWN = "und"
+SLICE_BYTES = 1 << 20  # an n-gram takes many times the bytes of its letter
 PENDING = 4 << 20  # n-grams a training task holds before it hands on their counts
 SPACE = 0x20
 
@@ -107,7 +108,7 @@ def _counting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
 
     for batch in batches:
-        for a, b in tb.slices(batch.column("text")):
+        for a, b in tb.slices(batch.column("text"), SLICE_BYTES):
             part = batch.slice(a, b - a)
             found, _ = grams_of(part.column("text").to_pylist(), letters)
             names, number = np.unique(np.array(part.column("lang").to_pylist(), str), return_inverse=True)
@@ -217,7 +218,7 @@ def _predicting(filters: LanguageFilters, keep: list[str]) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _letters()
         for batch in batches:
-            for a, b in tb.slices(batch.column("_text")):
+            for a, b in tb.slices(batch.column("_text"), SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 names, score, known = filters.classify(part.column("_text").to_pylist(), letters)
                 yield pa.RecordBatch.from_arrays(

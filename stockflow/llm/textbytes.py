@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 # fixed values: what counts as white space in the contracts of the word operators
 WORD_SPACE = [0x20, *range(0x09, 0x0E)]
@@ -104,7 +104,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     n = len(raw)
     if not len(starts):
         return np.zeros(0, np.uint64)
-    log_size = max(23, n.bit_length())
+    log_size = max(22, n.bit_length())
     sums = np.zeros(n + 1, np.uint64)
     terms = _byte_values()[raw]
     terms *= _powers(int(BASE), log_size)[:n]
