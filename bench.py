@@ -1,8 +1,9 @@
 """Time the headline queries on local Spark and print one JSON line.
 
 Environment: BENCH_SF_DIR (tables), BENCH_CPUS (threads), BENCH_QUERIES (comma list).
-Each query is written to the no-op sink, so every row and column is computed. A query runs
-once before it is timed, to leave JVM warm-up out; nothing is cached between the runs.
+Each query is written to the no-op sink, so every row and column is computed. All queries run
+once before any is timed, to leave JVM warm-up out; then each counts as the median of three
+runs. Nothing is cached between the runs.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import time
+from statistics import median
 
 from stockflow.queries import QUERIES
 from stockflow.session import build_session
@@ -57,10 +59,9 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
-    seconds = {}
     for name in names:
         run(name)
-        seconds[name] = round(run(name), 3)
+    seconds = {name: round(median(run(name) for _ in range(3)), 3) for name in names}
     print(
         json.dumps(
             {
