@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stockflow.llm import mixing
+from stockflow.llm import licenses, mixing
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -93,7 +93,47 @@ SELECT doc_id, size, source_size, target,
 FROM sent JOIN target ON sent.source IS NOT DISTINCT FROM target.source
 """
 
+# op2: sentences as rows, identifiers as one text per document, rules as one pattern
+_TRIGGER = licenses.TRIGGER.removeprefix("(?i)")
+_KNOWN = ", ".join(f"('{form}', '{name}')" for form, name in licenses.known_sentences().items())
+_RULES = ", ".join(f"('{' '.join(names)} ', '{name}')" for names, name in licenses.RULES)
+LICENSES = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         CASE WHEN regexp_matches(text, '{_TRIGGER}', 'i') THEN text ELSE '' END AS t
+  FROM documents),
+cut AS (
+  SELECT r, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,
+           '[.!?;]+[\x20\x09-\x0D]+', chr(1), 'g'), '\n[\x20\x09]*\n', chr(1), 'g'),
+           '\n+([A-Z0-9\x22*#/])', chr(1) || '\1', 'g'), '\n+$', chr(1)), chr(1)) AS s
+  FROM doc WHERE t <> ''),
+sentence AS (SELECT r, unnest(s) AS s, generate_subscripts(s, 1) AS place FROM cut),
+formed AS (
+  SELECT r, place, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS form
+  FROM sentence WHERE regexp_matches(s, '{_TRIGGER}', 'i')),
+known(form, name) AS (VALUES {_KNOWN}),
+found AS (
+  SELECT r, place, coalesce(w.name, l.name) AS name
+  FROM (SELECT *, array_to_string(string_split(form, ' ')[1:{licenses.LEAD}], ' ') || ' *' AS lead FROM formed) f
+  LEFT JOIN known w ON w.form = f.form LEFT JOIN known l ON l.form = f.lead
+  WHERE coalesce(w.name, l.name) IS NOT NULL),
+spaced AS (
+  SELECT r, place, CASE WHEN place - lag(place) OVER (PARTITION BY r ORDER BY place) > {licenses.GAP} + 1 THEN '| ' ELSE '' END
+                || name || ' ' AS part FROM found),
+seq AS (SELECT r, count(*) AS n, string_agg(part, '' ORDER BY place) AS names FROM spaced GROUP BY r),
+rule(names, licence) AS (SELECT names, first(licence) FROM (VALUES {_RULES}) AS v(names, licence) GROUP BY names),
+matched AS (
+  SELECT r, unnest(m) AS names, generate_subscripts(m, 1) AS k
+  FROM (SELECT r, regexp_extract_all(names, '{licenses.rule_pattern()}') AS m FROM seq)),
+licensed AS (
+  SELECT r, count(*) AS n, string_agg(licence, ',' ORDER BY k) AS licenses FROM matched JOIN rule USING (names) GROUP BY r)
+SELECT doc_id, CAST(coalesce(seq.n, 0) AS BIGINT) AS n_sentences, CAST(coalesce(licensed.n, 0) AS BIGINT) AS n_licenses,
+       coalesce(licenses, '') AS licenses
+FROM doc LEFT JOIN seq USING (r) LEFT JOIN licensed USING (r)
+"""
+
 ORACLE_SQL = {
+    "op2_license_scans": LICENSES,
     "op3_mixing_sources": MIX,
     "op6_benchmark_decontamination": BENCHMARK_HITS,
     "op10_ngram_jaccard_join": NEAR_DUPLICATES,
