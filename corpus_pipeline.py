@@ -15,7 +15,6 @@ executor costs one stage at most.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stockflow.llm import decontamination, language, mixing, ngram_join, pii
 from stockflow.llm.queries import table

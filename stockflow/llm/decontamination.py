@@ -136,7 +136,7 @@ class PatternGroup:
                 at, stop = at[live], stop[live]
         return np.concatenate(found) - reach if found else np.zeros(0, np.int64)
 
-    def search(self, text: np.ndarray, view: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, view: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(start, pattern number) of every occurrence in the first n bytes."""
         at = self.candidates(view, n)
         key = self.bucket(view, at)
@@ -183,9 +183,8 @@ class Matcher:
         """(words per document, document / first word / words of each hit, sorted (document, item) pairs)."""
         stream, offsets, n_words = word_stream(column)
         n = len(stream)
-        text = np.append(stream, np.zeros(8, np.uint8))
-        view = _eight(text)
-        found = [group.search(text, view, n) for group in self.groups]
+        view = _eight(np.append(stream, np.zeros(8, np.uint8)))
+        found = [group.search(view, n) for group in self.groups]
         at = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
         which = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
         document = np.searchsorted(offsets, at, "right") - 1
