@@ -72,7 +72,7 @@ def draw(number: Column, seed: int, purpose: int, size: int) -> Column:
 
 
 def text_number(text: str) -> Column:
-    """A number below 2**32 from any text: the first half of a word of its MD5 digest."""
+    """A number below 2**32 from any text: the first eight digits of its MD5 digest."""
     return F.conv(F.substring(F.md5(F.col(text).cast("binary")), 1, 8), 16, 10).cast("bigint")
 
 
