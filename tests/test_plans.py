@@ -55,7 +55,7 @@ def test_readiness_reads_the_blocks_twice_at_most(spark, sf_dir, no_broadcast):
     own = "\n".join(line for line in text.splitlines() if "ReusedExchange" not in line)
     by = [re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", own)]
     assert sum("transaction_id" in k for k in by) == 1
-    assert len(by) <= 12
+    assert len(by) <= 11
     assert own.count("event-blocks") <= 2
     assert "ReusedExchange" in text
 
