@@ -324,15 +324,28 @@ def _bit_of(nodes: np.ndarray) -> np.ndarray:
     return nodes & ((1 << FILTER_BITS) - 1)
 
 
-def _bitmap(nodes: DataFrame) -> bytes:
-    """Bits of the nodes as a fixed number of words: a filter that lets too many pass at worst."""
-    at = F.col("node").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    words = (
-        nodes.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+def _bit_words(nodes: DataFrame) -> DataFrame:
+    """(word, bits): the bits of the column node as at most 2 ** (FILTER_BITS - 6) words.
+
+    A filter of a fixed size: it may let others pass, but none of these nodes is missed.
+    """
+    return (
+        nodes.select(_word_of("node").alias("word"), _place_of("node").alias("bit"))
         .groupBy("word")
         .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
-        .toArrow()
     )
+
+
+def _word_of(column: str) -> Column:
+    return F.shiftright(F.col(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6)
+
+
+def _place_of(column: str) -> Column:
+    return F.col(column).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _bitmap(nodes: DataFrame) -> bytes:
+    words = _bit_words(nodes).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out.tobytes()
@@ -485,12 +498,31 @@ def one_of_each(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     A null id counts as the largest; of rows with that id the one with the smallest hash of
     its text stays, of equal rows one. Documents without words all stay.
+
+    Most rows stay and need not move: a filter of bounded size over the rows in question
+    tells them. Only what does not pass it is joined, by id and hash of the text.
     """
     columns = documents.columns
-    found = join_components(documents.select("doc_id", "text"), rule).filter("n_shingles > 0")
+    found = written(join_components(documents.select("doc_id", "text"), rule).filter("n_shingles > 0"), "components")
+    key = F.struct("doc_id", "mark")
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
-    staying = found.groupBy("root").agg(F.min(first).alias("row")).select(F.struct("row.doc_id", "row.mark").alias("_key"))
-    rows = documents.select(F.struct(*columns).alias("_row"), F.struct("doc_id", _mark().alias("mark")).alias("_key"))
-    has_word = F.col("_row.text").rlike(r"[^\x20\x09-\x0D]")
-    worded = rows.filter(has_word).join(staying, "_key", "left_semi").dropDuplicates(["_key"])
-    return worded.unionByName(rows.filter(F.coalesce(~has_word, F.lit(True)))).select("_row.*")
+    staying = found.groupBy("root").agg(F.min(first).alias("row")).select(
+        "root", F.struct("row.doc_id", "row.mark").alias("_key")
+    )
+    rows_of_key = found.groupBy("root", "doc_id", "mark").count()
+    in_question = rows_of_key.join(staying, "root").filter((key != F.col("_key")) | (F.col("count") > 1))
+    words = _bit_words(in_question.select(F.xxhash64("doc_id", "mark").alias("node")))
+
+    mark = _mark()
+    rows = documents.select(
+        F.struct(*[F.col(c).alias(f"c{k}") for k, c in enumerate(columns)]).alias("_row"),
+        F.struct("doc_id", mark.alias("mark")).alias("_key"),
+        F.xxhash64("doc_id", mark).alias("node"),
+        F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"),
+    ).withColumn("word", _word_of("node"))
+    # at most 2 ** 20 rows of two numbers
+    marked = rows.join(F.broadcast(words), "word", "left").withColumn("bit", _place_of("node"))
+    asked = F.expr("worded AND coalesce(shiftright(bits, bit) & 1, 0) = 1")
+    checked = marked.filter(asked).join(staying.select("_key"), "_key", "left_semi").dropDuplicates(["_key"])
+    kept = marked.filter(~asked).select("_row").unionByName(checked.select("_row"))
+    return kept.select(*[F.col("_row")[f"c{k}"].alias(c) for k, c in enumerate(columns)])
