@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -53,7 +55,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 @lru_cache(1)
 def _own_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="stockflow-")
+    """A folder of this machine for one application, removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="stockflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
