@@ -5,8 +5,9 @@ that go on. Stages are written as Parquet in the shared folder and read again, s
 executor costs one stage at most.
 
 1. language: documents in none of the learned languages go.
-2. near_duplicates: of each component of near duplicates the document with the smallest id
-   stays (equal rows: one of them; a null id counts as the largest).
+2. near_duplicates: of each component of near duplicates (Jaccard similarity of 0.8 on five
+   words) the document with the smallest id stays (equal rows: one of them; a null id counts
+   as the largest).
 3. decontamination: documents with a passage of the benchmark go.
 4. personal_data: personal data in the texts is replaced by pseudonyms; no document goes.
 5. mixture: the documents the mix takes, with the words taken from each, in mixing order.
@@ -21,6 +22,9 @@ from stockflow.llm.queries import table
 from stockflow.llm.shipping import ship_package
 from stockflow.session import written
 
+# the stage's own rule; op10 has another one
+NEAR = ngram_join.Rule(width=5, percent=80)
+
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learned on the training fold of the stage's own documents."""
@@ -31,7 +35,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, NEAR)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,8 +5,9 @@ import re
 import compare
 import corpus_pipeline
 import pytest
+import test_ngram_join
 from fixtures import frame, words
-from test_ngram_join import brute
+from test_ngram_join import brute, rows_of
 
 import __spark_entry__ as entry_points
 from stockflow.llm import decontamination, language, mixing, pii
@@ -87,6 +88,21 @@ def compare_column(texts):
     return pa.array(texts, pa.string())
 
 
+def test_near_duplicates_go_by_five_words_at_four_fifths(spark, sf_dir, monkeypatch):
+    rows = rows_of(7)
+    by_op10 = {root for root in brute([r[:2] for r in rows])[1] if root is not None}
+    monkeypatch.setattr(test_ngram_join, "shingles", lambda text, own=test_ngram_join.shingles: own(text, 5))
+    roots = brute([r[:2] for r in rows], 80)[1]
+    ids = {}
+    for (doc, *_), root in zip(rows, roots):
+        if root is not None:
+            ids.setdefault(root, set()).add((doc is None, doc or 0))
+    kept = corpus_pipeline.without_near_duplicates(spark, frame(spark, rows), sf_dir).collect()
+    want = sorted(repr(None if min(own)[0] else min(own)[1]) for own in ids.values())
+    assert sorted(repr(r.doc_id) for r in kept if words(r.text)) == want
+    assert len(want) != len(by_op10)
+
+
 def test_pipeline_of_no_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
