@@ -72,6 +72,18 @@ def test_accepted_rows_are_whole(spark):
     assert ENGLISH[1] in texts and "" not in texts and None not in texts
 
 
+def test_documents_of_a_language_left_out_of_learning_go(spark):
+    documents = table(spark, "/root/testdata/sf0.01", "documents")
+    held_out = language.fold("doc_id", 4) == 2
+    training = documents.filter(~held_out)
+    held = documents.filter(held_out)
+    assert language.accepted(held, language.learn(training)).count() == held.count()
+    for lang in ("de", "en", "es", "fr"):
+        others = language.learn(training.filter(documents.lang != lang))
+        own = documents.filter(documents.lang == lang)
+        assert language.accepted(own, others).count() < 0.03 * own.count()
+
+
 @pytest.mark.parametrize("folder", ["sf0.01"])
 def test_held_out_accuracy(spark, folder):
     path = f"/root/testdata/{folder}"
