@@ -49,6 +49,29 @@ def test_no_rows_and_nothing_to_learn_from(spark):
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (True, 3, 0, 0, 0)
 
 
+def test_learning_takes_all_texts_and_draws_from_distinct_ones(spark, monkeypatch):
+    own = random_texts(3)
+    rows = [(k, t, "en", "s") for k, t in enumerate(own + [own[0]] * 60)]
+    trained = [t for k, t, *_ in rows if zlib.crc32(str(k).encode()) % 7 != 2]
+    drawn, expected = [], []
+    train, with_parts = attention.train, attention.with_parts
+    monkeypatch.setattr(attention, "train", lambda *a, **b: drawn.append(a[3]) or train(*a, **b))
+    monkeypatch.setattr(attention, "with_parts", lambda *a: expected.append(a[1]) or with_parts(*a))
+    all_distinct = len(set(trained))
+    for share, least, most in ((1 << 40, 30, 30), (1, all_distinct, all_distinct)):
+        monkeypatch.setattr(lm_scoring, "SAMPLE_SHARE", share)
+        lm_scoring.score(frame(spark, rows), PATH, sample=30, steps=5).collect()
+        assert least <= len(drawn[-1]) <= most
+        # every subword of every training text, and each text's end, is given by some part
+        model = lm_scoring.Subwords(PATH).model
+        want = np.zeros(model.vocab_size())
+        for text in trained:
+            for word in words(text):
+                np.add.at(want, model.encode(word), 1)
+            want[lm_scoring.END] += 1
+        assert np.allclose(expected[-1].sum(axis=1), want, rtol=1e-4, atol=1e-4)
+
+
 def small_model():
     draw = np.random.default_rng(3)
     return attention.new_model(draw.dirichlet(np.ones(50))), draw
