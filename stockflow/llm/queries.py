@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import decontamination, fingerprints, language, licenses, lm_scoring, mixing, ngram_join, pii, quality, tokens
+from stockflow.llm import (
+    conversations,
+    decontamination,
+    fingerprints,
+    language,
+    licenses,
+    lm_scoring,
+    mixing,
+    ngram_join,
+    pii,
+    quality,
+    tokens,
+    url_filter,
+    vector_codes,
+)
 from stockflow.llm.shipping import ship_package
 
 
@@ -91,6 +105,48 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def compressed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+# the rules of the contract: host, path, verdict
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judged(table(spark, sf_dir, "pages"), rules, ["page_id"])
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with a fault put into five of twenty; `present` is false for dropped ones."""
+    name = "concat(coalesce(string(conv_id), ' '), ':', coalesce(string(turn), ' '))"
+    kind = F.col("kind")
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    return (
+        rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.expr(f"crc32({name}) % 20").alias("kind"))
+        .select(
+            "conv_id",
+            "turn",
+            F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"),
+            F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+            (kind != 0).alias("present"),
+            F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(damaged(table(spark, sf_dir, "conversations")), present="present")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op2_license_scans": license_scan,
@@ -102,4 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": languages,
     "op9_document_fingerprints": document_fingerprints,
     "op10_ngram_jaccard_join": near_duplicates,
+    "op11_vector_code_compression": compressed_vectors,
+    "op12_url_filters": url_verdicts,
+    "op13_conversation_repair": repaired_conversations,
 }
