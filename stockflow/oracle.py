@@ -310,6 +310,22 @@ VOLUME = """SELECT product_id,
     FROM shipments WHERE shipment_status <> 'CANCELLED' GROUP BY product_id"""
 STATUS_TOTALS = "count(*) AS orders, CAST(sum(missing_pallets) AS BIGINT) AS missing_pallets"
 
+_PUBLISHED = _sql(f"SELECT *, {_month('scheduled_date')} AS event_month FROM netted_readiness")
+_TWO_POLICIES = _sql(
+    f"""SELECT *, {_month("scheduled_date")} AS event_month FROM netted_readiness
+        WHERE warehouse_id <> 'WH-EAST'
+        UNION ALL
+        SELECT *, {_month("scheduled_date")} FROM clamped_readiness WHERE warehouse_id = 'WH-EAST'"""
+)
+_QUALITY = _sql(
+    _quality("products", "product_reference", "products", PRODUCT_RULES)
+    + "\nUNION ALL "
+    + _quality("shipments", "shipment_schedule", "shipments_once", SHIPMENT_RULES)
+    + "\nUNION ALL "
+    + _quality("transactions", "inventory_transactions", "transactions_once", TRANSACTION_RULES)
+)
+EARLIER = "1999-03-31"
+
 ORACLE_SQL: dict[str, str] = {
     "order_readiness": _sql("SELECT * FROM netted_readiness"),
     "order_readiness_by_block": _sql("SELECT * FROM netted_readiness"),
@@ -347,13 +363,7 @@ ORACLE_SQL: dict[str, str] = {
             SELECT 'transactions', count(*), count(*) FILTER ({_all(TRANSACTION_RULES)}),
                    count(*) FILTER (NOT {_all(TRANSACTION_RULES)}) FROM transactions_once"""
     ),
-    "quality_report": _sql(
-        _quality("products", "product_reference", "products", PRODUCT_RULES)
-        + "\nUNION ALL "
-        + _quality("shipments", "shipment_schedule", "shipments_once", SHIPMENT_RULES)
-        + "\nUNION ALL "
-        + _quality("transactions", "inventory_transactions", "transactions_once", TRANSACTION_RULES)
-    ),
+    "quality_report": _QUALITY,
     "current_inventory": _sql("SELECT * FROM stock"),
     "future_events": _sql(f"SELECT {_names(SHIPMENT_SCHEMA)} FROM events"),
     "signed_events": _sql(
@@ -474,16 +484,15 @@ ORACLE_SQL: dict[str, str] = {
                    count(*) AS shipments, CAST(sum(planned_pallet_quantity) AS BIGINT) AS planned_pallets
             FROM shipments WHERE shipment_status <> 'CANCELLED' GROUP BY ALL"""
     ),
-    "publish_readiness": _sql(
-        f"SELECT *, {_month('scheduled_date')} AS event_month FROM netted_readiness"
-    ),
+    "publish_readiness": _PUBLISHED,
     # partitions without a row in the update keep the first policy
-    "publish_incremental": _sql(
-        f"""SELECT *, {_month("scheduled_date")} AS event_month FROM netted_readiness
-            WHERE warehouse_id <> 'WH-EAST'
-            UNION ALL
-            SELECT *, {_month("scheduled_date")} FROM clamped_readiness WHERE warehouse_id = 'WH-EAST'"""
-    ),
+    "publish_incremental": _TWO_POLICIES,
+    "publish_snapshot": _PUBLISHED,
+    "snapshot_as_of": _PUBLISHED.replace(AS_OF, f"DATE '{EARLIER}'"),
+    "snapshot_replace": _TWO_POLICIES,
+    "published_quality": _QUALITY,
+    "incremental_inventory": _sql("SELECT * FROM stock"),
+    "incremental_readiness": _PUBLISHED,
     "publish_balance": _sql("SELECT * FROM stock"),
     "quarantine_shipments_sink": _sql(f"SELECT * FROM shipments_once WHERE NOT {_all(SHIPMENT_RULES)}"),
     "quarantine_transactions_sink": _sql(

@@ -19,13 +19,14 @@ from stockflow.operators.events import (
     with_safety_stock,
 )
 from stockflow.operators.policies import CLAMPED, NETTED
-from stockflow.plans import job
+from stockflow.plans import incremental, job, reports, snapshot_job
 from stockflow.plans import readiness as plan
-from stockflow.plans import reports
 from stockflow.session import scratch_path
 from stockflow.sources import driver_tables, readers
+from stockflow.sources.snapshots import Store
 
 AS_OF = driver_tables.AS_OF
+EARLIER = "1999-03-31"
 MANY_BLOCKS = 64
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -214,59 +215,99 @@ def _publish(spark: SparkSession, sf_dir: str, table: str, path: str) -> None:
         publish.publish_ledger(inputs(spark, sf_dir).transactions(), path)
 
 
-def _over_published(table: str, sql: str) -> Query:
-    """Publish the one table that the report reads, and ask it in SQL."""
+def _over_published(table: str, report: Callable[[DataFrame], DataFrame]) -> Query:
+    """Publish the one table that the report reads, and ask the table of that name."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = scratch_path(spark, "published")
         _publish(spark, sf_dir, table, f"{folder}/{table}")
         readers.register_published(spark, folder, [table])
-        return spark.sql(sql)
+        return report(spark.table(table))
 
     return query
 
 
 PUBLISHED_REPORTS = {
-    "published_attention": _over_published(
-        contract.READINESS,
-        """SELECT shipment_id, product_id, warehouse_id, scheduled_date, planned_pallet_quantity,
-                  missing_pallets, readiness_status, earliest_available_date
-           FROM order_readiness WHERE readiness_status <> 'READY'
-           ORDER BY scheduled_date, missing_pallets DESC, shipment_id""",
-    ),
-    "published_shortage": _over_published(
-        contract.READINESS,
-        """SELECT warehouse_id, count_if(missing_pallets > 0) AS constrained_orders,
-                  sum(missing_pallets) AS missing_pallets
-           FROM order_readiness GROUP BY warehouse_id ORDER BY 3 DESC, 1""",
-    ),
-    "published_volume": _over_published(
-        contract.SHIPMENTS,
-        """SELECT product_id,
-                  coalesce(sum(planned_pallet_quantity) FILTER (WHERE shipment_type = 'INBOUND'), 0)
-                    AS inbound_pallets,
-                  coalesce(sum(planned_pallet_quantity) FILTER (WHERE shipment_type = 'OUTBOUND'), 0)
-                    AS outbound_pallets
-           FROM shipment_schedule WHERE shipment_status <> 'CANCELLED'
-           GROUP BY product_id ORDER BY inbound_pallets + outbound_pallets DESC, product_id LIMIT 20""",
-    ),
-    "published_adjustments": _over_published(
-        contract.TRANSACTIONS,
-        """SELECT product_id, count(*) AS adjustment_events, sum(abs(pallet_quantity)) AS adjusted_pallets
-           FROM inventory_transactions WHERE transaction_type = 'ADJUSTMENT'
-           GROUP BY product_id ORDER BY adjusted_pallets DESC, product_id LIMIT 20""",
-    ),
-    "published_delay_rate": _over_published(
-        contract.SHIPMENTS,
-        """SELECT warehouse_id, shipment_type, delayed_shipments, total_shipments,
-                  ((delayed_shipments * 20000 + total_shipments) div (total_shipments * 2)) / 100.0D AS delay_rate_pct
-           FROM (SELECT warehouse_id, shipment_type, count_if(shipment_status = 'DELAYED') AS delayed_shipments,
-                        count(*) AS total_shipments
-                 FROM shipment_schedule GROUP BY warehouse_id, shipment_type)""",
-    ),
+    "published_attention": _over_published(contract.READINESS, reports.attention_orders),
+    "published_shortage": _over_published(contract.READINESS, reports.shortage_by_warehouse),
+    "published_volume": _over_published(contract.SHIPMENTS, reports.top_product_volume),
+    "published_adjustments": _over_published(contract.TRANSACTIONS, reports.top_adjustments),
+    "published_delay_rate": _over_published(contract.SHIPMENTS, reports.delay_rate),
 }
 
 
+# --- snapshots ----------------------------------------------------------------------------
+
+
+def _two_snapshots(spark: SparkSession, sf_dir: str) -> Store:
+    """The job as of an earlier date and as of the usual one, into one folder."""
+    folder = scratch_path(spark, "snapshots")
+    for as_of in (EARLIER, AS_OF):
+        snapshot_job.run(inputs(spark, sf_dir), folder, plan.Horizon(as_of))
+    return Store(spark, folder)
+
+
+def publish_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later of two snapshots: nothing of the earlier date is left in it."""
+    return snapshot_job.read(_two_snapshots(spark, sf_dir), contract.READINESS)
+
+
+def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier of two snapshots, still readable by its date."""
+    store = _two_snapshots(spark, sf_dir)
+    return snapshot_job.read(store, contract.READINESS, store.latest(EARLIER))
+
+
+def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One warehouse replaced by the other policy's rows, the others taken over as they are."""
+    store = Store(spark, scratch_path(spark, "snapshots"))
+    draft = store.draft()
+    draft.replace(contract.READINESS, lambda path: publish.publish_readiness(readiness(spark, sf_dir), path))
+    draft = store.draft(draft.commit(AS_OF))
+    update = readiness(spark, sf_dir, CLAMPED).filter(F.col("warehouse_id") == "WH-EAST")
+    draft.replace_where(
+        contract.READINESS, lambda path: publish.publish_readiness(update, path), lambda p: p["warehouse_id"] == "WH-EAST"
+    )
+    draft.commit(AS_OF)
+    return snapshot_job.read(store, contract.READINESS)
+
+
+def published_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts the snapshot job took while it wrote."""
+    return snapshot_job.run(inputs(spark, sf_dir), scratch_path(spark, "snapshots"), horizon()).quality_report()
+
+
+# --- kept up to date -----------------------------------------------------------------------
+
+
+def _deal(df: DataFrame, key: str, share: int, late: int) -> tuple[DataFrame, DataFrame]:
+    """The rows in two batches, `late` of `share` in the second: by key, and copies of a key apart."""
+    draw = F.pmod(F.xxhash64(key, F.col(df.columns[-1]), F.col(df.columns[-2])), F.lit(share))
+    return df.filter(draw >= late), df.filter(draw < late)
+
+
+def incremental_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock after three batches of the ledger, late and repeated rows among them, and two as-of dates."""
+    store = Store(spark, scratch_path(spark, "state"))
+    first, more = _deal(driver_tables.transactions(spark, sf_dir), "transaction_id", 10, 4)
+    second, third = _deal(more, "transaction_id", 20, 3)
+    for batch, as_of in ((first, EARLIER), (second, AS_OF), (third, AS_OF)):
+        incremental.append_ledger(store, batch, as_of)
+    return incremental.stock(store)
+
+
+def incremental_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readiness of a first load, brought up to date for the keys that later rows change."""
+    store = Store(spark, scratch_path(spark, "state"))
+    data = inputs(spark, sf_dir)
+    products = _deal(data.products_read, "product_id", 50, 1)
+    shipments = _deal(data.shipments_read, "product_id", 40, 1)
+    ledger = _deal(data.transactions_read, "product_id", 40, 1)
+    for k in range(2):
+        incremental.update(store, AS_OF, products[k], shipments[k], ledger[k])
+    return incremental.readiness(store)
+
+
 # --- generation, driven by the ids of the given tables --------------------------------
 
 
@@ -415,6 +456,14 @@ QUERIES: dict[str, Query] = {
     # the job and reports over published tables
     "job_summary": job_summary,
     **PUBLISHED_REPORTS,
+    # snapshots
+    "publish_snapshot": publish_snapshot,
+    "snapshot_as_of": snapshot_as_of,
+    "snapshot_replace": snapshot_replace,
+    "published_quality": published_quality,
+    # kept up to date
+    "incremental_inventory": incremental_inventory,
+    "incremental_readiness": incremental_readiness,
     # generation
     "gen_products": gen_products,
     "gen_shipments": gen_shipments,

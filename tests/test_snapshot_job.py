@@ -1,0 +1,115 @@
+"""The job as one snapshot: what it counts, and what stops it."""
+
+import pytest
+from pyspark.sql import functions as F
+from tables import AS_OF, ledger_row, make_inputs, product, shipment
+
+from stockflow import contract
+from stockflow import queries as named
+from stockflow.operators import publish
+from stockflow.plans import snapshot_job
+from stockflow.plans.readiness import Horizon, order_readiness
+from stockflow.session import shared_folder
+from stockflow.sources.snapshots import Store, partition_of
+
+ROWS = [shipment(3, "O", 5, "a"), shipment(3, "O", 5, "a"), shipment(4, "I", 9, "b"), shipment(5, "O", 0, "bad")]
+
+
+def small(spark, shipments=ROWS, ledger=None):
+    return make_inputs(spark, [product()], shipments, ledger or [ledger_row("t", 9), ledger_row("u", 501)])
+
+
+def rows(df):
+    return sorted(map(repr, map(tuple, df.select(sorted(df.columns)).collect())))
+
+
+def test_all_tables_become_visible_together(spark, tmp_path):
+    inputs = small(spark)
+    done = snapshot_job.run(inputs, str(tmp_path), Horizon(AS_OF))
+    assert set(done.snapshot.tables) == {*snapshot_job.LAYOUT, snapshot_job.SHIPMENT_REJECTS, snapshot_job.TRANSACTION_REJECTS}
+    assert rows(done.readiness().drop("event_month")) == rows(order_readiness(inputs, Horizon(AS_OF)))
+    assert [r.shipment_id for r in snapshot_job.read_rejects(done.store, snapshot_job.SHIPMENT_REJECTS).collect()] == ["bad"]
+    assert [r.transaction_id for r in snapshot_job.read_rejects(done.store, snapshot_job.TRANSACTION_REJECTS).collect()] == ["u"]
+    snapshot_job.register(done.store)
+    found = spark.sql("SELECT current_inventory, readiness_status FROM current_inventory JOIN order_readiness USING (product_id)")
+    assert [tuple(r) for r in found.collect()] == [(9, "READY")]
+    assert done.summary().collect()[0].orders == 1
+
+
+def test_counts_are_those_of_the_quality_report(spark, sf_dir, tmp_path):
+    data = named.inputs(spark, sf_dir)
+    done = snapshot_job.run(data, str(tmp_path), Horizon(named.AS_OF))
+    assert rows(done.quality_report()) == rows(named.quality_report(spark, sf_dir))
+    assert done.counts[contract.READINESS]["orders"] == done.readiness().count()
+    assert done.store.latest().facts["counts"] == done.counts
+
+
+def test_a_job_that_dies_halfway_leaves_the_old_snapshot(spark, tmp_path, monkeypatch):
+    inputs = small(spark)
+    first = snapshot_job.run(inputs, str(tmp_path), Horizon(AS_OF))
+    before = rows(first.readiness())
+
+    def dies(readiness, path):
+        lost = F.when(F.col("shipment_id") == "c", F.raise_error(F.lit("disk gone"))).otherwise(F.col("shipment_id"))
+        publish.publish_by_month(readiness.withColumn("shipment_id", lost.cast("string")), path, "scheduled_date")
+
+    monkeypatch.setattr(publish, "publish_readiness", dies)
+    more = small(spark, [*ROWS, shipment(9, "O", 7, "c")])
+    with pytest.raises(Exception, match="disk gone"):
+        snapshot_job.run(more, str(tmp_path), Horizon("2026-08-02"))
+    store = Store(spark, str(tmp_path))
+    assert len(store.history()) == 1 and rows(snapshot_job.read(store, contract.READINESS)) == before
+    monkeypatch.undo()
+    snapshot_job.run(more, str(tmp_path), Horizon("2026-08-02"))
+    assert rows(snapshot_job.read(store, contract.READINESS)) != before
+
+
+def test_no_month_of_an_earlier_date_is_left(spark, tmp_path):
+    inputs = small(spark, [shipment(3, "O", 5, "a"), shipment(200, "O", 5, "b")])
+    for as_of in (AS_OF, "2026-09-30"):
+        snapshot_job.run(inputs, str(tmp_path), Horizon(as_of))
+    store = Store(spark, str(tmp_path))
+    months = {partition_of(f)["event_month"] for f in store.leaves(store.latest().tables[contract.READINESS])}
+    assert months == {"2027-02"}
+    assert snapshot_job.read(store, contract.READINESS, store.latest(str(AS_OF))).count() == 2
+
+
+@pytest.mark.parametrize(
+    ("options", "message"),
+    [
+        ({"max_rejected": 0.3}, "shipments: 1 of 3 rows rejected"),
+        ({"invariants": {"none_ready": "readiness_status <> 'READY'"}}, "none_ready"),
+        ({"invariants": {"unknown": "nullif(missing_pallets, 0) > 0"}}, "unknown"),
+    ],
+)
+def test_a_broken_rule_stops_the_publish(spark, tmp_path, options, message):
+    inputs = small(spark, ledger=[ledger_row("t", 9)])
+    with pytest.raises(snapshot_job.BrokenInvariant, match=message):
+        snapshot_job.run(inputs, str(tmp_path), Horizon(AS_OF), **options)
+    with pytest.raises(LookupError):
+        Store(spark, str(tmp_path)).latest()
+
+
+def test_rows_that_do_not_add_up_stop_the_publish():
+    with pytest.raises(snapshot_job.BrokenInvariant, match="add up"):
+        snapshot_job._check({"shipments": {"read": 5, "deduplicated": 4, "valid": 2, "rejected": 1}}, None)
+
+
+def test_empty_inputs(spark, tmp_path):
+    done = snapshot_job.run(make_inputs(spark, [], [], []), str(tmp_path), Horizon(AS_OF))
+    assert done.readiness().collect() == [] and done.summary().collect() == []
+    assert set(done.counts["shipments"].values()) == {0}
+
+
+def test_later_steps_read_the_months_they_need_only(spark, sf_dir, tmp_path):
+    done = snapshot_job.run(named.inputs(spark, sf_dir), str(tmp_path), Horizon(named.AS_OF))
+    late = snapshot_job.read(done.store, contract.SHIPMENTS, done.snapshot).filter("event_month >= '1999-06'")
+    assert "PartitionFilters: [isnotnull(event_month" in late._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_scratch_is_left(spark, tmp_path):
+    from pathlib import Path
+
+    before = set(Path(shared_folder(spark)).iterdir())
+    snapshot_job.run(small(spark), str(tmp_path), Horizon(AS_OF))
+    assert set(Path(shared_folder(spark)).iterdir()) == before
