@@ -326,6 +326,37 @@ _QUALITY = _sql(
 )
 EARLIER = "1999-03-31"
 
+# shipments as lines of CSV: what was sent, and what of it can be read
+_CELLS = [f"coalesce(CAST({c} AS VARCHAR), '')" for c in column_names(SHIPMENT_SCHEMA)]
+_SENT = {
+    "scheduled_date": "CASE pick WHEN 0 THEN '2026-13-45' WHEN 7 THEN '1999-8-4' ELSE coalesce(CAST(scheduled_date AS VARCHAR), '') END",
+    "planned_pallet_quantity": "CASE pick WHEN 1 THEN 'abc' WHEN 2 THEN '4.0' WHEN 6 THEN ' 4' ELSE coalesce(CAST(planned_pallet_quantity AS VARCHAR), '') END",
+    "actual_pallet_quantity": "CASE pick WHEN 5 THEN 'n/a' ELSE coalesce(CAST(actual_pallet_quantity AS VARCHAR), '') END",
+}
+_LINE = [_SENT.get(c, f"coalesce({c}, '')") for c in column_names(SHIPMENT_SCHEMA)]
+_READ = {
+    "scheduled_date": "CASE pick WHEN 0 THEN NULL WHEN 7 THEN DATE '1999-08-04' ELSE scheduled_date END",
+    "planned_pallet_quantity": "CASE WHEN pick NOT IN (1, 2, 6) THEN planned_pallet_quantity END",
+    "actual_pallet_quantity": "CASE WHEN pick <> 5 THEN actual_pallet_quantity END",
+    "shipment_type": "CASE WHEN pick <> 3 THEN shipment_type END",
+    "shipment_status": "CASE WHEN pick <> 3 THEN shipment_status END",
+}
+_RESCUED = _sql(
+    f"""SELECT *, CASE WHEN {_all(SHIPMENT_RULES)} THEN 'accepted' ELSE 'rejected' END AS verdict
+        FROM (
+          SELECT {", ".join(f"{_READ[c]} AS {c}" if c in _READ else c for c in column_names(SHIPMENT_SCHEMA))},
+                 CASE WHEN pick < 7 THEN array_to_string(list_concat([{", ".join(_LINE[:6])}],
+                   CASE WHEN pick = 3 THEN [] WHEN pick = 4 THEN [{", ".join(_LINE[6:])}, 'more'] ELSE [{", ".join(_LINE[6:])}] END), ',')
+                 END AS source_text,
+                 CASE pick WHEN 0 THEN 'scheduled_date' WHEN 1 THEN 'planned_pallet_quantity' WHEN 2 THEN 'planned_pallet_quantity'
+                   WHEN 3 THEN 'shipment_type,shipment_status' WHEN 4 THEN '(more cells)' WHEN 5 THEN 'actual_pallet_quantity'
+                   WHEN 6 THEN 'planned_pallet_quantity' END AS failing_columns
+          FROM (SELECT *, {_text_number(" || ',' || ".join(_CELLS))} % 24 AS pick FROM shipment_schedule)
+          QUALIFY row_number() OVER (PARTITION BY shipment_id ORDER BY
+            {", ".join(f"{_READ.get(c, c)} ASC NULLS LAST" for c in column_names(SHIPMENT_SCHEMA)[1:])}, coalesce(source_text, '')) = 1)
+        WHERE source_text IS NOT NULL OR NOT {_all(SHIPMENT_RULES)}"""
+)
+
 ORACLE_SQL: dict[str, str] = {
     "order_readiness": _sql("SELECT * FROM netted_readiness"),
     "order_readiness_by_block": _sql("SELECT * FROM netted_readiness"),
@@ -487,6 +518,7 @@ ORACLE_SQL: dict[str, str] = {
     "publish_readiness": _PUBLISHED,
     # partitions without a row in the update keep the first policy
     "publish_incremental": _TWO_POLICIES,
+    "quarantine_rescued": _RESCUED,
     "publish_snapshot": _PUBLISHED,
     "snapshot_as_of": _PUBLISHED.replace(AS_OF, f"DATE '{EARLIER}'"),
     "snapshot_replace": _TWO_POLICIES,

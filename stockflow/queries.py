@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow import contract
+from stockflow.functions.columns import text_number
 from stockflow.operators import generate, publish, quality
 from stockflow.operators.balance import current_inventory, inventory_trend
 from stockflow.operators.cover import cover_dates, short_orders
@@ -22,7 +23,7 @@ from stockflow.operators.policies import CLAMPED, NETTED
 from stockflow.plans import incremental, job, reports, snapshot_job
 from stockflow.plans import readiness as plan
 from stockflow.session import scratch_path
-from stockflow.sources import driver_tables, readers
+from stockflow.sources import driver_tables, readers, rescue
 from stockflow.sources.snapshots import Store
 
 AS_OF = driver_tables.AS_OF
@@ -198,6 +199,38 @@ def export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_table(spark, path, contract.READINESS_SCHEMA, "csv")
 
 
+def _damaged_lines(shipments: DataFrame) -> DataFrame:
+    """Shipments as CSV lines, a part of them with bad cells, too few or too many."""
+    names = contract.column_names(contract.SHIPMENT_SCHEMA)
+    cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names}
+    pick = text_number("line") % 24
+    lines = shipments.select(F.concat_ws(",", *cells.values()).alias("line"), *[v.alias(c) for c, v in cells.items()])
+    bad = {
+        "scheduled_date": {0: "2026-13-45", 7: "1999-8-4"},
+        "planned_pallet_quantity": {1: "abc", 2: "4.0", 6: " 4"},
+        "actual_pallet_quantity": {5: "n/a"},
+    }
+    for name, values in bad.items():
+        for k, value in values.items():
+            lines = lines.withColumn(name, F.when(pick == k, value).otherwise(F.col(name)))
+    short = F.concat_ws(",", *names[:6])
+    return lines.select(
+        F.when(pick == 3, short).when(pick == 4, F.concat_ws(",", *names, F.lit("more"))).otherwise(F.concat_ws(",", *names)).alias("line")
+    )
+
+
+def quarantine_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What quarantine says of a CSV table with unreadable cells and rows of the wrong length."""
+    source, target = scratch_path(spark, "damaged"), scratch_path(spark, "rescued")
+    _damaged_lines(driver_tables.shipments(spark, sf_dir)).write.text(source)
+    kept = rescue.once(rescue.read_rescued(spark, source, contract.SHIPMENT_SCHEMA, header=False), "shipment_id")
+    rescue.quarantine(kept, quality.SHIPMENT_RULES, target)
+    found = spark.read.schema(
+        f"{contract.SHIPMENT_SCHEMA}, source_text string, failing_columns array<string>, verdict string"
+    ).json(target)
+    return found.withColumn("failing_columns", F.array_join("failing_columns", ","))
+
+
 # --- the job, and reports as SQL over published tables -----------------------------------
 
 
@@ -452,6 +485,7 @@ QUERIES: dict[str, Query] = {
     "publish_balance": publish_balance,
     "quarantine_shipments_sink": quarantine_shipments_sink,
     "quarantine_transactions_sink": quarantine_transactions_sink,
+    "quarantine_rescued": quarantine_rescued,
     "export_csv": export_csv,
     # the job and reports over published tables
     "job_summary": job_summary,

@@ -19,6 +19,7 @@ import json
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import cached_property
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -68,17 +69,22 @@ class Store:
     # --- files -----------------------------------------------------------------------
 
     def _path(self, name: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return self._hadoop.Path(f"{self.folder}/{name}")
 
+    @cached_property
+    def _hadoop(self):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs
+
+    @cached_property
     def _files(self):
         return self._path("").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def _names(self, name: str) -> list[str]:
-        files, path = self._files(), self._path(name)
-        return sorted(status.getPath().getName() for status in files.listStatus(path)) if files.exists(path) else []
+        path = self._path(name)
+        return sorted(s.getPath().getName() for s in self._files.listStatus(path)) if self._files.exists(path) else []
 
     def _text(self, name: str) -> str:
-        stream = self._files().open(self._path(name))
+        stream = self._files.open(self._path(name))
         try:
             return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
@@ -87,9 +93,9 @@ class Store:
     def _create(self, name: str, text: str) -> bool:
         """A new file that is complete as soon as it has its name; False if there is one already."""
         context = self.spark.sparkContext
-        hadoop = context._jvm.org.apache.hadoop.fs
+        hadoop = self._hadoop
         target, draft = self._path(name), self._path(f"{MANIFESTS}/.{uuid.uuid4().hex}")
-        stream = self._files().create(draft, False)
+        stream = self._files.create(draft, False)
         try:
             stream.write(bytearray(text.encode()))
         finally:
@@ -99,7 +105,7 @@ class Store:
         try:
             here.rename(draft, target, no_options)
         except Py4JJavaError as error:
-            self._files().delete(draft, False)
+            self._files.delete(draft, False)
             if "FileAlreadyExists" in error.java_exception.getClass().getName():
                 return False
             raise
@@ -149,13 +155,21 @@ class Store:
         return reader.parquet(*[f"{self.folder}/{f}" for f in folders]).select(*names, *more)
 
     def leaves(self, folders: list[str]) -> list[str]:
-        """The folders of single partitions below `folders`; a folder without any stands for itself."""
+        """The folders of single partitions below `folders`; a folder without any stands for itself.
+
+        All partitions of a table lie at one depth, so one of them shows where they end.
+        """
         found = []
         for folder in folders:
-            below = [name for name in self._names(folder) if "=" in name]
-            found += self.leaves([f"{folder}/{name}" for name in below]) if below else [folder]
+            level, deeper = [folder], not partition_of(folder)
+            while deeper and (below := self._partitions(level[0])):
+                level = [*below, *(leaf for other in level[1:] for leaf in self._partitions(other))]
+            found += level
         return found
 
+    def _partitions(self, folder: str) -> list[str]:
+        return [f"{folder}/{name}" for name in self._names(folder) if "=" in name]
+
     # --- writing -----------------------------------------------------------------------
 
     def draft(self, parent: Snapshot | None = None) -> Draft:
@@ -173,7 +187,7 @@ class Store:
         # a folder taken over in part is still needed: its partitions go one by one
         unused = {leaf for f in unused for leaf in ([f] if not any(n.startswith(f"{f}/") for n in needed) else self.leaves([f]))}
         gone = sorted(f for f in unused if not any(f == n or f.startswith(f"{n}/") for n in needed))
-        files = self._files()
+        files = self._files
         for snapshot in old:
             files.delete(self._path(f"{MANIFESTS}/{snapshot.number:08d}.json"), False)
         for folder in gone:
