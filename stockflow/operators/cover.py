@@ -2,8 +2,8 @@
 
 An arrival covers an order when its key is the same, its date is strictly later and
 its level reaches what the order needs. Joining every short order with every later
-arrival would grow with the square of a key's events. Instead the arrivals of a key are
-reduced to one level per day, and each short order looks through that list of days.
+arrival would grow with the square of a key's events. Instead each event carries the days
+of its key's arrivals, and a short order searches them.
 """
 
 from __future__ import annotations
@@ -11,15 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.contract import INBOUND, OUTBOUND, STOCK_KEY
+from stockflow.contract import OUTBOUND
+from stockflow.operators.arrivals import first_cover
 from stockflow.operators.policies import NETTED
 
 
-def arrival_level(policy: str) -> Column:
-    """What an arrival offers: stock after it, or the running total for `clamped`."""
-    return F.col("projected_inventory_after_order" if policy == NETTED else "running_total")
-
-
 def needed_level(policy: str) -> Column:
     """The level at which an order counts as covered.
 
@@ -35,37 +31,10 @@ def short_orders(projected: DataFrame) -> DataFrame:
     return projected.filter((F.col("shipment_type") == OUTBOUND) & (F.col("missing_pallets") > 0))
 
 
-def arrival_days(projected: DataFrame, levels: dict[str, Column]) -> DataFrame:
-    """(key, _arrivals): per key the days with arrivals and, by name, the best level of each.
-
-    A day that lies in several blocks has an entry for each of them; the list is bounded by
-    the calendar and the blocks of a day, not by the number of events.
-    """
-    by_day = (
-        projected.filter(F.col("shipment_type") == INBOUND)
-        .groupBy("block", *STOCK_KEY, "scheduled_date")
-        .agg(*[F.max(level).alias(name) for name, level in levels.items()])
-    )
-    entry = F.struct(F.col("scheduled_date").alias("day"), *levels)
-    return by_day.groupBy(*STOCK_KEY).agg(F.collect_list(entry).alias("_arrivals"))
-
-
-def first_cover(level: str, need: str, missing: str = "missing_pallets") -> Column:
-    """The first later day of `_arrivals` on which `level` reaches `need`; null if nothing is missing."""
-    days = f"transform(filter(_arrivals, a -> a.day > scheduled_date AND a.{level} >= {need}), a -> a.day)"
-    return F.expr(f"CASE WHEN {missing} > 0 THEN array_min({days}) END")
-
-
 def cover_dates(projected: DataFrame, policy: str = NETTED) -> DataFrame:
     """Outbound orders with `earliest_inbound_date`; null when nothing is short or no cover comes.
 
-    Only short orders look for a day. The join is by key and left outer, so Spark splits the
-    orders of a key with very many of them.
+    Only short orders look for a day.
     """
-    days = arrival_days(projected, {"level": arrival_level(policy)})
     orders = projected.filter(F.col("shipment_type") == OUTBOUND).withColumn("_need", needed_level(policy))
-    return (
-        orders.join(days, STOCK_KEY, "left")
-        .withColumn("earliest_inbound_date", first_cover("level", "_need"))
-        .drop("_arrivals", "_need")
-    )
+    return orders.withColumn("earliest_inbound_date", first_cover(policy, "_need")).drop("arrivals", "_need")

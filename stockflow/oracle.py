@@ -357,6 +357,24 @@ _RESCUED = _sql(
         WHERE source_text IS NOT NULL OR NOT {_all(SHIPMENT_RULES)}"""
 )
 
+# lots and orders as stretches of one line per key, joined where they overlap
+_LOTS = _sql(
+    """SELECT product_id, warehouse_id, lot_id, shipment_id,
+              CAST(least(l.till, o.till) - greatest(l.since, o.since) AS BIGINT) AS pallets
+       FROM (
+         SELECT product_id, warehouse_id, 'OPENING' AS lot_id, 0 AS since, current_inventory AS till FROM stock
+         UNION ALL
+         SELECT product_id, warehouse_id, shipment_id, till - planned_pallet_quantity, till
+         FROM (SELECT *, current_inventory + sum(planned_pallet_quantity) OVER (PARTITION BY product_id, warehouse_id ORDER BY n) AS till
+               FROM clamped_events WHERE shipment_type = 'INBOUND')) l
+       JOIN (
+         SELECT *, till - filled AS since
+         FROM (SELECT *, planned_pallet_quantity - missing_pallets AS filled,
+                      sum(planned_pallet_quantity - missing_pallets) OVER (PARTITION BY product_id, warehouse_id ORDER BY n) AS till
+               FROM clamped_events WHERE shipment_type = 'OUTBOUND')) o USING (product_id, warehouse_id)
+       WHERE l.since < o.till AND o.since < l.till AND o.filled > 0 AND l.till > l.since"""
+)
+
 ORACLE_SQL: dict[str, str] = {
     "order_readiness": _sql("SELECT * FROM netted_readiness"),
     "order_readiness_by_block": _sql("SELECT * FROM netted_readiness"),
@@ -518,6 +536,7 @@ ORACLE_SQL: dict[str, str] = {
     "publish_readiness": _PUBLISHED,
     # partitions without a row in the update keep the first policy
     "publish_incremental": _TWO_POLICIES,
+    "lot_matching": _LOTS,
     "quarantine_rescued": _RESCUED,
     "publish_snapshot": _PUBLISHED,
     "snapshot_as_of": _PUBLISHED.replace(AS_OF, f"DATE '{EARLIER}'"),

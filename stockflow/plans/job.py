@@ -45,9 +45,11 @@ def _publish_split(
     with an executor is computed again.
     """
     checked = deduped.withColumn("is_valid", F.expr(is_valid(rules))).persist(StorageLevel.DISK_ONLY)
-    publish_valid(checked.filter("is_valid").drop("is_valid"), path)
-    publish.quarantine(checked.filter("NOT is_valid").drop("is_valid"), quarantine)
-    checked.unpersist()
+    try:
+        publish_valid(checked.filter("is_valid").drop("is_valid"), path)
+        publish.quarantine(checked.filter("NOT is_valid").drop("is_valid"), quarantine)
+    finally:
+        checked.unpersist()
 
 
 def published_schedule(spark: SparkSession, folder: str, after: str | date) -> DataFrame:

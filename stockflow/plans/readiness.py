@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from stockflow import contract
 from stockflow.functions.columns import as_date
+from stockflow.operators.arrivals import first_cover
 from stockflow.operators.balance import current_inventory
-from stockflow.operators.cover import arrival_days, arrival_level, cover_dates, first_cover, needed_level
+from stockflow.operators.cover import cover_dates, needed_level
 from stockflow.operators.dedup import dedup
 from stockflow.operators.events import future_events, with_safety_stock
+from stockflow.operators.lots import lot_matches
 from stockflow.operators.policies import CLAMPED, NETTED, POLICIES, project
 from stockflow.operators.quality import (
     SHIPMENT_RULES,
@@ -57,7 +59,7 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Horizon:
-    """As-of date, and the number of blocks in which the events after it are worked on.
+    """As-of date, and about the number of blocks in which the events after it are worked on.
 
     Without a number there are as many blocks as the session has shuffle partitions.
     """
@@ -72,6 +74,7 @@ def event_totals(inputs: Inputs, horizon: Horizon) -> DataFrame:
         future_events(inputs.shipments(), horizon.as_of),
         current_inventory(inputs.transactions(), horizon.as_of),
         horizon.blocks,
+        like=future_events(inputs.shipments_read, horizon.as_of),
     )
 
 
@@ -118,6 +121,12 @@ def order_readiness(inputs: Inputs, horizon: Horizon, policy: str = NETTED) -> D
     return readiness_from_totals(event_totals(inputs, horizon), inputs.products(), horizon.as_of, policy)
 
 
+def lot_matching(inputs: Inputs, horizon: Horizon) -> DataFrame:
+    """What each future order takes of the opening stock and of each arrival, oldest first."""
+    stock = current_inventory(inputs.transactions(), horizon.as_of)
+    return lot_matches(projected_inventory(inputs, horizon, CLAMPED), stock)
+
+
 def policy_differences(inputs: Inputs, horizon: Horizon) -> DataFrame:
     """Orders on which the two policies disagree in status, missing pallets or date.
 
@@ -126,15 +135,10 @@ def policy_differences(inputs: Inputs, horizon: Horizon) -> DataFrame:
     """
     own = ["available_before_order", "missing_pallets", "projected_inventory_after_order"]
     both = event_totals(inputs, horizon)
-    levels = {}
     for policy in POLICIES:
-        both = project(both, policy).withColumns(
-            {f"{policy}_level": arrival_level(policy), f"{policy}_need": needed_level(policy)}
-        )
+        both = project(both, policy).withColumn(f"{policy}_need", needed_level(policy))
         both = both.withColumnsRenamed({c: f"{policy}_{c}" for c in own})
-        levels[policy] = F.col(f"{policy}_level")
     orders = both.filter(F.col("shipment_type") == contract.OUTBOUND)
-    orders = orders.join(arrival_days(both, levels), contract.STOCK_KEY, "left")
     orders = with_safety_stock(orders, inputs.products())
     compared = ["readiness_status", "missing_pallets", "earliest_available_date"]
     for policy in POLICIES:
