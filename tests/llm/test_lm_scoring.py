@@ -3,6 +3,7 @@
 import math
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
@@ -93,6 +94,68 @@ def test_probabilities_add_up_and_ignore_what_follows():
     assert np.allclose(*same, atol=1e-6)
 
 
+def by_plain_loop(model, ids, targets):
+    """Natural log of the probability of each target of one text, place by place."""
+    out = []
+    for i, target in enumerate(targets):
+        oldest = max(0, i - i % attention.STRIDE - attention.CONTEXT)
+        x = model.embed.astype(float)
+        q, own = (x[ids[i]] @ model.project)[: attention.DIM], x[ids[i]]
+        looks, values = [], []
+        for j in range(oldest, i + 1):
+            row = x[ids[j]] @ model.project
+            looks.append(math.exp(q @ row[attention.DIM : 2 * attention.DIM] / attention.DIM**0.5 + model.distance[i - j]))
+            values.append(row[2 * attention.DIM :])
+        context = sum(a * v for a, v in zip(looks, values)) / sum(looks)
+        h = np.maximum(np.concatenate([own, context]) @ model.hidden + model.hidden_bias, 0)
+        shares = np.exp(h @ model.out + model.out_bias)
+        out.append(math.log(shares @ model.parts[target] / shares.sum()))
+    return out
+
+
+def test_probabilities_and_expected_counts_are_those_of_a_plain_loop():
+    model, draw = small_model()
+    model = replace(model, distance=draw.standard_normal(attention.WINDOW).astype(np.float32))
+    lengths = np.array([1, 24, 70, 25])
+    ids, goal = (draw.integers(0, 50, lengths.sum()).astype(np.int32) for _ in range(2))
+    found = attention.log_probabilities(model, ids, goal, lengths)
+    want = [v for a, b in zip(np.cumsum(lengths) - lengths, np.cumsum(lengths)) for v in by_plain_loop(model, ids[a:b], goal[a:b])]
+    assert np.allclose(found, want, atol=0.02)
+    expected = attention.Expectation(model)
+    expected.add(ids, goal, lengths)
+    assert np.allclose(expected.counts().sum(axis=1), np.bincount(goal, minlength=50), rtol=1e-4)
+
+
+@pytest.mark.parametrize("bound", [1.0, 30.0, 200.0])
+def test_the_quick_exponential_is_near_the_exact_one(bound):
+    values = np.linspace(-bound, bound, 20_001, dtype=np.float32)
+    quick, exact = values.copy(), values.copy()
+    attention._raised(quick)
+    attention._exponential(exact)
+    assert np.isfinite(quick).all() and (quick > 0).all() and (np.diff(quick) >= 0).all()
+    assert np.abs(quick / exact - 1).max() < 0.011
+
+
+def test_scores_of_rows_are_those_of_a_plain_loop(spark, monkeypatch):
+    rows = [(k, t, "en", "s") for k, t in enumerate(random_texts(4)[:25])] + ODD_ROWS
+    learned, with_parts = [], attention.with_parts
+    monkeypatch.setattr(attention, "with_parts", lambda *a: learned.append(with_parts(*a)) or learned[-1])
+    found = lm_scoring.score(frame(spark, rows), PATH, sample=20, steps=50).collect()
+    subwords = lm_scoring.Subwords(PATH).model
+    want = []
+    for i, text, *_ in rows:
+        if len(text or "") > 5000:
+            continue
+        ids = [p for word in words(text) for p in subwords.encode(word)]
+        logs = by_plain_loop(learned[-1], [lm_scoring.BEGIN, *ids], [*ids, lm_scoring.END])
+        want.append((repr(i), len(words(text)) + 1, sum(logs) / math.log(10)))
+    short = {(i, n) for i, n, _ in want}
+    got = [(repr(r.doc_id), r.n_tokens, r.score) for r in found if (repr(r.doc_id), r.n_tokens) in short]
+    assert len(got) == len(want) > 25
+    for a, b in zip(sorted(got), sorted(want)):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 0.02 + 0.002 * abs(b[2])
+
+
 def test_texts_of_a_slice_do_not_see_each_other():
     model, draw = small_model()
     ids = draw.integers(0, 50, 100).astype(np.int32)
