@@ -2,15 +2,21 @@
 
 Recognised values: e-mail addresses, telephone numbers, payment card numbers, national
 identity numbers (000-00-0000 shape), IPv4 addresses, calendar dates, and keys or tokens in
-hexadecimal. A value is validated before it is touched: digits of a card number by length,
-fields of an address or date by range.
+hexadecimal. A value is validated before it is touched: a card number by its check digit, a
+national number by the areas, groups and serials that are given out, fields of an address or
+date by range. Card numbers are written in one run of 13 to 19 digits, as 4-4-4-4 or as 4-6-5;
+which digits belong together is read from the left and by the writing alone, so that a
+pseudonym is found again where the value was. Dates may have one-digit days and months, and
+year-first ones may go on as a time stamp (2024-03-05T10:00), whose time stays.
 
 The variable part of a value is a number below the size of its format (digits of a card,
 days of a calendar span, addresses, letters and digits of a name). A keyed Feistel network
 permutes that range; cycle walking keeps it inside. So equal values stay equal in all
 documents, different ones stay different, separators and lengths stay as they were, a card
-with a valid check digit gets another valid one, and a date becomes another valid date. With
-the key the permutation can be undone (`unmasked`).
+gets another valid check digit, a national number another that could be given out, and a date
+becomes another date of the same widths. Dates with a one-digit field are permuted among
+themselves, by widths, and so are linked with dates of the same writing only. With the key the
+permutation can be undone (`unmasked`).
 
 The work is one pass over the rows, in batches, without a shuffle; texts are read whole.
 
@@ -25,7 +31,7 @@ import hashlib
 import hmac
 import re
 from bisect import bisect_left
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -40,6 +46,10 @@ ROUNDS = 10
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 LAST_DAY = datetime.date(2099, 12, 31).toordinal()
 
+# national numbers: areas 001 to 899 but one, groups 01 to 99, serials 0001 to 9999
+NO_AREA = 666
+AREAS, GROUPS, SERIALS = 898, 99, 9999
+
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "0123456789"
 
@@ -146,7 +156,7 @@ class Masker:
         return self._digits_in(text, "phone", code)
 
     def card(self, text: str) -> str:
-        """All digits but the check digit; the check digit is set so that it stays as right or wrong as it was."""
+        """All digits but the check digit, which is set so that it is as right as it was."""
         digits = [c for c in text if c in DIGITS]
         error = (int(digits[-1]) - check_digit(digits[:-1])) % 10
         new = list(self._run("".join(digits[:-1]), DIGITS, "card"))
@@ -155,7 +165,14 @@ class Masker:
         return "".join(next(give) if c in DIGITS else c for c in text)
 
     def national(self, text: str) -> str:
-        return self._digits_in(text, "national")
+        """Area, group and serial as one number among those that can be given out."""
+        area, group, serial = (int(x) for x in text.split("-"))
+        rank = area - 1 - (area > NO_AREA)
+        value = (rank * GROUPS + group - 1) * SERIALS + serial - 1
+        rest, serial = divmod(self._permuted(value, AREAS * GROUPS * SERIALS, "national"), SERIALS)
+        rank, group = divmod(rest, GROUPS)
+        area = rank + 1 + (rank + 1 >= NO_AREA)
+        return f"{area:03d}-{group + 1:02d}-{serial + 1:04d}"
 
     def address(self, text: str) -> str:
         fields = [int(x) for x in text.split(".")]
@@ -169,9 +186,9 @@ class Masker:
 
     def date(self, text: str) -> str:
         """A day of the years 1900 to 2099, written as it was."""
-        day, write = read_date(text)
-        new = self._permuted(day.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date")
-        return write(datetime.date.fromordinal(FIRST_DAY + new))
+        day, write, days = read_date(text)
+        new = self._permuted(bisect_left(days, day.toordinal()), len(days), "date")
+        return write(datetime.date.fromordinal(days[new]))
 
     def _mask(self, kind: str, text: str) -> str:
         return getattr(self, kind)(text)
@@ -192,33 +209,51 @@ def check_digit(digits: list[str]) -> int:
     return -total % 10
 
 
-def read_date(text: str) -> tuple[datetime.date, Callable[[datetime.date], str]] | None:
-    """The day a text names, and how to write another one in its place; None if it is no day."""
+@lru_cache
+def _days(month_digits: int, day_digits: int) -> Sequence[int]:
+    """The days, ascending, that can be written with that many digits (two: with leading zeros)."""
+    every = range(FIRST_DAY, LAST_DAY + 1)
+    if month_digits == day_digits == 2:
+        return every
+    dates = map(datetime.date.fromordinal, every)
+    return [d.toordinal() for d in dates if d.month < 10**month_digits and d.day < 10**day_digits]
+
+
+def read_date(text: str) -> tuple[datetime.date, Callable[[datetime.date], str], Sequence[int]] | None:
+    """The day a text names, how to write another one in its place, and the days that can be
+    written so; None if it is no day."""
     parts = re.split(r"[-/.]", text)
     sep = re.findall(r"[-/.]", text)
     year_first = len(parts[0]) == 4
-    year, month, day = (int(x) for x in (parts if year_first else reversed(parts)))
+    year, month, day = parts if year_first else parts[::-1]
     american = not year_first and sep[0] == "/"
     if american:
         month, day = day, month
+    widths = len(month), len(day)
     try:
-        date = datetime.date(year, month, day)
+        date = datetime.date(int(year), int(month), int(day))
     except ValueError:
         return None
     if not FIRST_DAY <= date.toordinal() <= LAST_DAY:
         return None
 
     def write(new: datetime.date) -> str:
-        fields = [f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"]
+        fields = [f"{new.year:04d}", f"{new.month:0{widths[0]}d}", f"{new.day:0{widths[1]}d}"]
         if not year_first:
             fields = [fields[1], fields[2], fields[0]] if american else fields[::-1]
         return sep[0].join(fields)
 
-    return date, write
+    return date, write, _days(*widths)
+
+
+def _card(text: str) -> bool:
+    digits = [c for c in text if c in DIGITS]
+    return int(digits[-1]) == check_digit(digits[:-1])
 
 
-def _card_sized(text: str) -> bool:
-    return 13 <= sum(c in DIGITS for c in text) <= 19
+def _national(text: str) -> bool:
+    area, group, serial = (int(x) for x in text.split("-"))
+    return 0 < area < 900 and area != NO_AREA and group > 0 and serial > 0
 
 
 def _address(text: str) -> bool:
@@ -233,9 +268,9 @@ KINDS: list[tuple[str, str, Callable[[str], object] | None]] = [
     ("phone", r"(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)", None),
     ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)", lambda t: 8 <= sum(c.isdigit() for c in t) <= 15),
     ("phone", r"(?<![\w(])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])", None),
-    ("national", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", None),
-    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", _card_sized),
-    ("date", r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)", read_date),
+    ("national", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _national),
+    ("card", r"(?<![\w.-])(?:\d{13,19}|\d{4}(?P<a>[ -])\d{4}(?P=a)\d{4}(?P=a)\d{4}|\d{4}(?P<b>[ -])\d{6}(?P=b)\d{5})(?![\w-])", _card),
+    ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}(?=T\d{2}(?:\D|\d{2}(?:\d{2})?\b))|(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]|\.\d))", read_date),
 ]
 _PATTERNS = [
     (kind, re.compile(pattern, 0 if kind == "email" else re.ASCII), valid) for kind, pattern, valid in KINDS
