@@ -55,14 +55,14 @@ def test_learning_takes_all_texts_and_draws_from_distinct_ones(spark, monkeypatc
     rows = [(k, t, "en", "s") for k, t in enumerate(own + [own[0]] * 60)]
     trained = [t for k, t, *_ in rows if zlib.crc32(str(k).encode()) % 7 != 2]
     drawn, expected = [], []
-    train, with_parts = attention.train, attention.with_parts
-    monkeypatch.setattr(attention, "train", lambda *a, **b: drawn.append(a[3]) or train(*a, **b))
+    sampled, with_parts = lm_scoring.sampled, attention.with_parts
+    monkeypatch.setattr(lm_scoring, "sampled", lambda *a: drawn.append(sampled(*a).collect()) or sampled(*a))
     monkeypatch.setattr(attention, "with_parts", lambda *a: expected.append(a[1]) or with_parts(*a))
     all_distinct = len(set(trained))
     for share, least, most in ((1 << 40, 30, 30), (1, all_distinct, all_distinct)):
         monkeypatch.setattr(lm_scoring, "SAMPLE_SHARE", share)
         lm_scoring.score(frame(spark, rows), PATH, sample=30, steps=5).collect()
-        assert least <= len(drawn[-1]) <= most
+        assert least <= len(drawn[-1]) == len({r.place for r in drawn[-1]}) <= most
         # every subword of every training text, and each text's end, is given by some part
         model = lm_scoring.Subwords(PATH).model
         want = np.zeros(model.vocab_size())
@@ -202,9 +202,40 @@ def test_training_learns_what_follows_what():
         ids.append(int(follow[ids[-1]]) if draw.random() < 0.9 else int(draw.integers(0, 30)))
     ids = np.array(ids, np.int32)
     unigram = np.full(30, 1 / 30)
-    lengths = np.full(40, 100)
-    model, _, losses = attention.train(attention.new_model(unigram), ids, np.roll(ids, -1), lengths, unigram, 600, batch=16)
-    assert losses[0] > 2.5 and losses[-1] < 1.6
+    model, losses = attention.new_model(unigram), []
+    for number in range(attention.ROUNDS):
+        # two tasks of twenty texts each, averaged after each round
+        found = []
+        for half in (slice(0, 2000), slice(2000, 4000)):
+            learner = attention.Learner(model, attention.rate_of(number), seed=number)
+            losses.append(learner.read(ids[half], np.roll(ids, -1)[half], np.full(20, 100), passes=6, batch=8))
+            found.append(learner.rows_out())
+        kind, row, values = (np.concatenate(x) for x in zip(*found))
+        keys, place = np.unique(kind * 10_000 + row, return_inverse=True)
+        sums = np.zeros((len(keys), attention.PARTS))
+        np.add.at(sums, place, values)
+        model = attention.averaged(model, keys // 10_000, keys % 10_000, sums, unigram, 1.0)
+    assert losses[0] > losses[-1] + 0.5 and losses[-1] < 1.6  # without learning: log 30 = 3.4
+
+
+def test_the_average_of_one_learner_is_its_own_model():
+    model, draw = small_model()
+    ids, goal = draw.integers(0, 40, 300).astype(np.int32), draw.integers(0, 50, 300)
+    learner = attention.Learner(model)
+    learner.read(ids, goal, np.array([100, 200]), passes=2)
+    after = attention.averaged(model, *learner.rows_out(), np.full(50, 0.02), 1.0)
+    for name, weights in learner.weights.items():
+        assert np.allclose(getattr(after, name), weights, atol=1e-6), name
+    assert (after.embed[40:] == model.embed[40:]).all()  # subwords that were not read stay
+    assert np.allclose(learner.counts.sum(axis=1), np.bincount(goal, minlength=50), rtol=1e-4)
+
+
+@pytest.mark.parametrize("size", [100, 1 << 17])
+def test_ids_of_texts_come_back_from_their_bytes(size):
+    ids = np.array([0, 5, size - 1, 7, 99], np.int32)
+    count = np.array([0, 3, 0, 2])
+    back = lm_scoring.from_binary(lm_scoring.as_binary(ids, count, lm_scoring.id_type(size)).slice(1), lm_scoring.id_type(size))
+    assert back[0].tolist() == ids.tolist() and back[1].tolist() == [3, 0, 2]
 
 
 def test_the_model_beats_the_base_on_held_out_texts(spark):
