@@ -357,6 +357,13 @@ _RESCUED = _sql(
         WHERE source_text IS NOT NULL OR NOT {_all(SHIPMENT_RULES)}"""
 )
 
+_PROMISES = _sql(
+    """SELECT product_id, warehouse_id, scheduled_date, shipment_id, running_total,
+              greatest(min(running_total) OVER (PARTITION BY product_id, warehouse_id ORDER BY n
+                                                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS available_to_promise
+       FROM (SELECT *, CAST(current_inventory + prior_net_events + signed_quantity AS BIGINT) AS running_total FROM sequenced)"""
+)
+
 # lots and orders as stretches of one line per key, joined where they overlap
 _LOTS = _sql(
     """SELECT product_id, warehouse_id, lot_id, shipment_id,
@@ -537,6 +544,7 @@ ORACLE_SQL: dict[str, str] = {
     # partitions without a row in the update keep the first policy
     "publish_incremental": _TWO_POLICIES,
     "lot_matching": _LOTS,
+    "available_to_promise": _PROMISES,
     "quarantine_rescued": _RESCUED,
     "publish_snapshot": _PUBLISHED,
     "snapshot_as_of": _PUBLISHED.replace(AS_OF, f"DATE '{EARLIER}'"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow import contract
+from stockflow.contract import STOCK_KEY
 from stockflow.functions.columns import as_date
 from stockflow.operators.arrivals import first_cover
 from stockflow.operators.balance import current_inventory
@@ -17,6 +18,7 @@ from stockflow.operators.dedup import dedup
 from stockflow.operators.events import future_events, with_safety_stock
 from stockflow.operators.lots import lot_matches
 from stockflow.operators.policies import CLAMPED, NETTED, POLICIES, project
+from stockflow.operators.promise import available_to_promise
 from stockflow.operators.quality import (
     SHIPMENT_RULES,
     TRANSACTION_RULES,
@@ -127,6 +129,13 @@ def lot_matching(inputs: Inputs, horizon: Horizon) -> DataFrame:
     return lot_matches(projected_inventory(inputs, horizon, CLAMPED), stock)
 
 
+def promises(inputs: Inputs, horizon: Horizon) -> DataFrame:
+    """Future events with the stock that new orders may take from then on, under `netted`."""
+    return available_to_promise(event_totals(inputs, horizon)).select(
+        *STOCK_KEY, "scheduled_date", "shipment_id", "running_total", "available_to_promise"
+    )
+
+
 def policy_differences(inputs: Inputs, horizon: Horizon) -> DataFrame:
     """Orders on which the two policies disagree in status, missing pallets or date.
 

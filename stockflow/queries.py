@@ -421,6 +421,7 @@ QUERIES: dict[str, Query] = {
     ),
     "policy_diff": lambda s, d: plan.policy_differences(inputs(s, d), horizon()),
     "lot_matching": lambda s, d: plan.lot_matching(inputs(s, d), horizon()),
+    "available_to_promise": lambda s, d: plan.promises(inputs(s, d), horizon()),
     # scans
     "scan_products": _scan_csv(driver_tables.products, contract.PRODUCT_SCHEMA),
     "scan_shipments": _scan_csv(driver_tables.shipments, contract.SHIPMENT_SCHEMA),
