@@ -275,8 +275,7 @@ PUBLISHED_REPORTS = {
 def _two_snapshots(spark: SparkSession, sf_dir: str) -> Store:
     """The job as of an earlier date and as of the usual one, into one folder."""
     folder = scratch_path(spark, "snapshots")
-    for as_of in (EARLIER, AS_OF):
-        snapshot_job.run(inputs(spark, sf_dir), folder, plan.Horizon(as_of))
+    snapshot_job.run_dates(inputs(spark, sf_dir), folder, [plan.Horizon(as_of) for as_of in (EARLIER, AS_OF)])
     return Store(spark, folder)
 
 

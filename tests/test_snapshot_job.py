@@ -113,3 +113,20 @@ def test_no_scratch_is_left(spark, tmp_path):
     before = set(Path(shared_folder(spark)).iterdir())
     snapshot_job.run(small(spark), str(tmp_path), Horizon(AS_OF))
     assert set(Path(shared_folder(spark)).iterdir()) == before
+
+
+def test_snapshots_of_several_dates_are_those_of_jobs_of_their_own(spark, tmp_path):
+    moves = [shipment(3, "O", 5, "a"), shipment(200, "O", 5, "b"), shipment(200, "O", 0, "bad", ("PRD-1", ""))]
+    inputs, dates = small(spark, moves), (AS_OF, "2026-09-30")
+    shared = snapshot_job.run_dates(inputs, str(tmp_path / "shared"), [Horizon(d) for d in dates])
+    for date, done in zip(dates, shared):
+        alone = snapshot_job.run(inputs, str(tmp_path / f"own-{date}"), Horizon(date))
+        assert done.snapshot.as_of == str(date) and done.counts == alone.counts
+        for table in snapshot_job.LAYOUT:
+            assert rows(snapshot_job.read(done.store, table, done.snapshot)) == rows(snapshot_job.read(alone.store, table, alone.snapshot))
+        rejected = snapshot_job.read_rejects(done.store, snapshot_job.SHIPMENT_REJECTS, done.snapshot).collect()
+        assert [(r.shipment_id, r.warehouse_id) for r in rejected] == [("bad", "")]
+    # rows that no date changes are judged and written once
+    first, second = (done.snapshot.tables for done in shared)
+    own = {contract.INVENTORY, contract.READINESS}
+    assert {t for t in first if first[t] == second[t]} == set(first) - own
