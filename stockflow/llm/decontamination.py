@@ -290,5 +290,5 @@ def find_passages(
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no window of any item occurs."""
-    found = find_passages(packed(documents), benchmark, [ROW])
+    found = find_passages(packed(documents), benchmark, [ROW, "text"])
     return unpacked(found.filter(F.size("hits") == 0), documents.columns)

@@ -232,8 +232,10 @@ def _predicting(filters: LanguageFilters, keep: list[str]) -> Callable:
 def predict(documents: DataFrame, filters: LanguageFilters, keep: list[str] | None = None) -> DataFrame:
     """The `keep` columns with lang_pred, score (0 to 1) and known (share of known n-grams)."""
     keep = documents.columns if keep is None else keep
-    inner = [f"_keep{i}" for i in range(len(keep))]
-    source = documents.select(*[F.col(c).alias(x) for x, c in zip(inner, keep)], F.col("text").alias("_text"))
+    # a text that is kept moves once
+    inner = ["_text" if c == "text" else f"_keep{i}" for i, c in enumerate(keep)]
+    moved = {"_text": "text", **dict(zip(inner, keep))}
+    source = documents.select(*[F.col(c).alias(x) for x, c in moved.items()])
     fields = ", ".join(f"{x} {source.schema[x].dataType.simpleString()}" for x in inner)
     schema = f"{fields}{', ' if inner else ''}_lang string, _score double, _known double"
     out = source.mapInArrow(_predicting(filters, inner), schema)
@@ -258,5 +260,5 @@ LEAST_KNOWN = 0.4
 
 def accepted(documents: DataFrame, filters: LanguageFilters) -> DataFrame:
     """The documents in one of the learned languages."""
-    found = predict(packed(documents), filters, [ROW])
+    found = predict(packed(documents), filters, [ROW, "text"])
     return unpacked(found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("known") >= LEAST_KNOWN)), documents.columns)

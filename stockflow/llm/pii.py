@@ -340,4 +340,4 @@ def unmasked(documents: DataFrame, key: str = KEY) -> DataFrame:
 
 def pseudonymised(documents: DataFrame, key: str = KEY) -> DataFrame:
     """The columns of `documents`, with pseudonyms in text. Lengths stay, but for IPv4 fields."""
-    return unpacked(masked(packed(documents), key), documents.columns, "text")
+    return unpacked(masked(packed(documents), key), documents.columns)

@@ -9,11 +9,11 @@ ROW = "_row"
 
 
 def packed(documents: DataFrame) -> DataFrame:
-    """All columns as one, and the text beside it."""
-    return documents.select(F.struct(*[F.col(c).alias(f"c{k}") for k, c in enumerate(documents.columns)]).alias(ROW), "text")
+    """All columns but the text as one, and the text beside it, so that it moves once."""
+    own = [F.col(c).alias(f"c{k}") for k, c in enumerate(documents.columns) if c != "text"]
+    return documents.select(F.struct(F.lit(True).alias("row"), *own).alias(ROW), "text")
 
 
-def unpacked(rows: DataFrame, columns: list[str], text: str | None = None) -> DataFrame:
-    """The packed columns under their names; with `text`, that column in the place of the text."""
-    old = [F.col(ROW)[f"c{k}"].alias(c) for k, c in enumerate(columns)]
-    return rows.select(*[F.col(text).alias("text") if text and c == "text" else o for c, o in zip(columns, old)])
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The packed columns under their names, and the text in its place."""
+    return rows.select(*[F.col("text") if c == "text" else F.col(ROW)[f"c{k}"].alias(c) for k, c in enumerate(columns)])
