@@ -8,7 +8,7 @@ weights of a mixture of fixed distributions over the vocabulary:
 so a probability costs one row of the table of parts, not a sum over the vocabulary. The
 weights are trained by gradient (Adam) in rounds: in each, every task moves its own copy over
 its texts, and the copies are averaged. The parts are trained by expectation maximisation,
-once a round.
+once a round. The last round reads all training texts.
 
 Texts are scored in overlapping windows: each window scores `STRIDE` subwords and sees
 `CONTEXT` earlier ones besides; all windows of a slice go through one batch of masked
@@ -105,6 +105,14 @@ def _raised(values: np.ndarray) -> None:
     np.divide((ONE_BITS + bits).view(np.float32), (ONE_BITS - bits).view(np.float32), out=values)
 
 
+def _add_rows(sums: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Add each row of values to the row of sums it belongs to; rows may repeat."""
+    order = np.argsort(rows.astype(np.uint16 if len(sums) <= 1 << 16 else rows.dtype), kind="stable")
+    ordered = rows[order]
+    heads = np.flatnonzero(np.diff(ordered, prepend=-1))
+    sums[ordered[heads]] += np.add.reduceat(values[order], heads, axis=0)
+
+
 def _mask_before(scores: np.ndarray, at: np.ndarray, first: np.ndarray, start: np.ndarray) -> None:
     """Nothing is seen of what lies before a window's own text."""
     lead = np.flatnonzero(first - CONTEXT < start)
@@ -266,7 +274,7 @@ def gradients(model: Model, ids: np.ndarray, targets: np.ndarray, first, end, st
     d_x[:, CONTEXT:] += d_both[:, :, :DIM]
     rows, place = np.unique(seen, return_inverse=True)
     summed = np.zeros((len(rows), DIM), np.float32)
-    np.add.at(summed, place.ravel(), d_x.reshape(-1, DIM))
+    _add_rows(summed, place.ravel(), d_x.reshape(-1, DIM))
     g["embed"] = (rows, summed)
     return loss, g, (goal[inside], share[inside])
 
@@ -294,7 +302,7 @@ class Learner:
         self.mean = {k: np.zeros_like(w) for k, w in self.weights.items()}
         self.square = {k: np.zeros_like(w) for k, w in self.weights.items()}
         self.rows = np.zeros(len(model.embed), bool)
-        self.counts = np.zeros(model.parts.shape, np.float32)
+        self.counts = np.zeros(model.parts.shape)  # doubles: single floats stop counting at 2^24
         self.draw = np.random.default_rng(seed)
 
     def read(self, ids: np.ndarray, targets: np.ndarray, lengths: np.ndarray, passes: int = 1, batch: int = BATCH) -> float:
@@ -309,7 +317,7 @@ class Learner:
                 loss, g, (goal, share) = gradients(current, ids, targets, first[own], end[own], start[own])
                 losses.append(loss)
                 if not left:
-                    np.add.at(self.counts, goal, share)
+                    _add_rows(self.counts, goal, share)
                 self._move(g)
         return float(np.mean(losses))
 
@@ -359,5 +367,5 @@ def averaged(model: Model, kind: np.ndarray, row: np.ndarray, sums: np.ndarray,
 
 
 def rate_of(number: int) -> float:
-    """The step size of a round: from `RATE` down to a tenth."""
-    return RATE * (1 - 0.9 * number / max(1, ROUNDS - 1))
+    """The step size of a round: from `RATE` down to a tenth, where it stays."""
+    return RATE * max(0.1, 1 - 0.9 * number / max(1, ROUNDS - 1))

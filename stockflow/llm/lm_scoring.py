@@ -7,12 +7,13 @@ log10 probability of the text (stockflow/llm/attention.py).
 
 1. All texts are cut into subwords once; the ids are written to the shared folder together
    with the counts of words (by a 64-bit hash) and subwords of the training texts.
-2. The weights of the model are trained in Spark tasks, in `ROUNDS` rounds, on distinct
+2. The weights of the model start from `ROUNDS` short rounds in Spark tasks over a few distinct
    training texts: the `SAMPLE` with the smallest hashes, and one in `SAMPLE_SHARE` of all.
    A task reads about `SHARD` subwords, as a stream; only sums of all tasks reach the driver,
    a table of the size of the model.
-3. The model's distributions over subwords are estimated again by one step of expectation
-   maximisation over all training texts, summed by Spark, and smoothed with their subword
+3. In a last round every task learns from all its training texts, whatever their number: the
+   weights of all tasks are averaged, and the model's distributions over subwords come from the
+   expected counts of every training text, summed by Spark and smoothed with the subword
    counts. Copies of a text count as often as they occur.
 4. All texts are scored whole, by the model from their ids and by the base from their words.
    Frequent words, at most `FREQUENT`, are known to every task; the others are joined to their
@@ -206,24 +207,6 @@ def _training(packed, number: int, passes: int) -> Callable:
     return run
 
 
-def _expecting(packed) -> Callable:
-    """Expected counts (id, one number per part) of a task's texts."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = unpacked(packed.value)
-        expected = attention.Expectation(model)
-        for batch in batches:
-            for a, b in tb.slices(batch.column("ids"), SLICE_BYTES // 4):
-                ids, count = from_binary(batch.column("ids").slice(a, b - a), id_type(len(model.embed)))
-                expected.add(*sequences(ids, count))
-        counts = expected.counts()
-        seen = np.flatnonzero(counts.sum(axis=1))
-        columns = [pa.array(counts[seen, m]) for m in range(attention.PARTS)]
-        yield pa.RecordBatch.from_arrays([pa.array(seen), *columns], ["row", *_COLUMNS])
-
-    return run
-
-
 _COLUMNS = [f"p{m}" for m in range(attention.PARTS)]
 _NUMBERS = ", ".join(f"{c} double" for c in _COLUMNS)
 
@@ -246,7 +229,7 @@ def unpacked(data: bytes) -> attention.Model:
 
 
 def sampled(texts: DataFrame, sample: int) -> DataFrame:
-    """(place, ids) of the distinct texts whose weights are learned from: the first by hash, and a share of all."""
+    """(place, ids) of the distinct texts the weights start from: the first by hash, and a share of all."""
     placed = texts.select("mark", F.xxhash64("mark", F.lit(1)).alias("place"), "ids")
     first = placed.select("place").distinct().orderBy("place").limit(sample).agg(F.max("place").alias("last")).first()
     chosen = F.pmod("place", F.lit(SAMPLE_SHARE)) == 0
@@ -272,19 +255,14 @@ def learn(training: DataFrame, counts: DataFrame, size: int, sample: int = SAMPL
     passes = int(np.clip(round(steps * attention.STRIDE * attention.BATCH * shards / total / attention.ROUNDS), 1, 8))
     # dealt once: each round reads the files, small ones several to a task
     dealt = written(texts.repartition(shards, "place").sortWithinPartitions("place").select("ids"), "lm-shards")
-    for number in range(attention.ROUNDS):
+    # the short rounds, and the last one over all training texts, where they lie
+    for number, read, times in [*((k, dealt, passes) for k in range(attention.ROUNDS)), (attention.ROUNDS, training.select("ids"), 1)]:
         now = spark.sparkContext.broadcast(packed(model))
-        moved = dealt.mapInArrow(_training(now, number, passes), f"kind long, row long, {_NUMBERS}")
+        moved = read.mapInArrow(_training(now, number, times), f"kind long, row long, {_NUMBERS}")
         keys, sums = _summed(moved, "kind", "row")
         now.destroy()  # the round's sums are here: executors need not keep its model on disk
         model = attention.averaged(model, keys.column("kind").to_numpy(), keys.column("row").to_numpy(), sums, unigram, SMOOTHING)
-
-    now = spark.sparkContext.broadcast(packed(model))
-    keys, sums = _summed(training.select("ids").mapInArrow(_expecting(now), f"row long, {_NUMBERS}"), "row")
-    expected = np.zeros((size, attention.PARTS))
-    expected[keys.column("row").to_numpy()] = sums
-    now.destroy()
-    return attention.with_parts(model, expected, unigram, SMOOTHING)
+    return model
 
 
 def _modelling(model_bytes) -> Callable:

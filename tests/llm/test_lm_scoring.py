@@ -73,6 +73,23 @@ def test_learning_takes_all_texts_and_draws_from_distinct_ones(spark, monkeypatc
         assert np.allclose(expected[-1].sum(axis=1), want, rtol=1e-4, atol=1e-4)
 
 
+def test_weights_learn_from_every_training_text(spark, monkeypatch):
+    """One text in the sample: yet the weights move with the windows and subwords of all texts."""
+    rows = [(k, t, "en", "s") for k, t in enumerate(random_texts(6)[:40])]
+    trained = [t for k, t, *_ in rows if zlib.crc32(str(k).encode()) % 7 != 2]
+    monkeypatch.setattr(lm_scoring, "SAMPLE_SHARE", 1 << 40)
+    rounds, averaged = [], attention.averaged
+    monkeypatch.setattr(attention, "averaged", lambda *a: rounds.append(a) or averaged(*a))
+    lm_scoring.score(frame(spark, rows), PATH, sample=1, steps=5).collect()
+    model = lm_scoring.Subwords(PATH).model
+    texts = [[p for word in words(t) for p in model.encode(word)] for t in trained]
+    _, kind, row, sums, *_ = rounds[-1]
+    # the numbers of windows are added up in the last row of the weights
+    other = sums[kind == 2][np.argsort(row[kind == 2])].ravel()
+    assert other[-1] == sum(-(-(len(t) + 1) // attention.STRIDE) for t in texts)
+    assert set(row[kind == 0].tolist()) >= {lm_scoring.BEGIN, *(p for t in texts for p in t)}
+
+
 def small_model():
     draw = np.random.default_rng(3)
     return attention.new_model(draw.dirichlet(np.ones(50))), draw
