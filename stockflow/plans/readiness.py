@@ -26,6 +26,7 @@ from stockflow.operators.quality import (
     valid_rows,
 )
 from stockflow.operators.sequence import running_totals
+from stockflow.session import written
 
 
 @dataclass(frozen=True)
@@ -80,6 +81,33 @@ def event_totals(inputs: Inputs, horizon: Horizon) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Judged:
+    """What the readiness of an as-of date reads of the inputs: deduplicated, valid and summed."""
+
+    events: DataFrame
+    inventory: DataFrame
+    products: DataFrame
+
+
+def judged_once(inputs: Inputs, horizon: Horizon) -> Judged:
+    """Scratch tables for several readiness tables of one date: the inputs are judged for the first only.
+
+    They belong to the caller's `scratch_removed`.
+    """
+    return Judged(
+        written(future_events(inputs.shipments(), horizon.as_of), "judged-events"),
+        written(current_inventory(inputs.transactions(), horizon.as_of), "judged-inventory"),
+        written(inputs.products(), "judged-products"),
+    )
+
+
+def readiness_of(judged: Judged, horizon: Horizon, policy: str = NETTED) -> DataFrame:
+    """`order_readiness` from inputs that were judged before."""
+    totals = running_totals(judged.events, judged.inventory, horizon.blocks)
+    return readiness_from_totals(totals, judged.products, horizon.as_of, policy)
+
+
 def projected_inventory(inputs: Inputs, horizon: Horizon, policy: str = NETTED) -> DataFrame:
     """All future events with the stock before and after them."""
     return project(event_totals(inputs, horizon), policy)

@@ -7,9 +7,10 @@ from pathlib import Path
 import pytest
 from tables import AS_OF, ledger_row, make_inputs, product, shipment
 
-from stockflow import contract
+from stockflow import contract, queries
 from stockflow.operators.balance import current_inventory
 from stockflow.plans import incremental
+from stockflow.plans import readiness as plan
 from stockflow.plans.readiness import Horizon, order_readiness
 from stockflow.session import shared_folder
 from stockflow.sources.snapshots import Store, partition_of
@@ -80,6 +81,32 @@ def test_months_without_changes_are_not_read(spark, tmp_path):
     assert moved < touched
 
 
+def test_new_keys_neither_read_nor_write_kept_rows(spark, tmp_path):
+    """Months whose kept rows all stay are not read: their new keys are files beside them."""
+    store = Store(spark, str(tmp_path))
+    first = [ledger_row(f"t{k}", 5, -30 * k) for k in range(4)]
+    incremental.append_ledger(store, spark.createDataFrame(first, contract.TRANSACTION_SCHEMA), AS_OF)
+    state = store.latest()
+    months = {partition_of(f)["event_month"] for f in store.leaves(state.tables[contract.TRANSACTIONS])}
+    spoil(store, incremental.LEDGER, state, months)
+    more = [ledger_row(f"n{k}", 2, -30 * k) for k in range(4)]
+    incremental.append_ledger(store, spark.createDataFrame(more, contract.TRANSACTION_SCHEMA), AS_OF)
+    assert [r.current_inventory for r in incremental.stock(store).collect()] == [4 * 5 + 4 * 2]
+    assert set(store.leaves(state.tables[contract.TRANSACTIONS])) < set(store.leaves(store.latest().tables[contract.TRANSACTIONS]))
+
+
+@pytest.mark.parametrize("batches", [1, 2])
+def test_a_batch_is_deduplicated_once(spark, tmp_path, monkeypatch, batches):
+    seen, own = [], incremental.dedup
+    monkeypatch.setattr(incremental, "dedup", lambda df, key: seen.append(key) or own(df, key))
+    store = Store(spark, str(tmp_path))
+    for k in range(batches):
+        rows = [ledger_row("t", 9 - k), ledger_row("t", 5 - k), ledger_row(None, 3)]
+        incremental.append_ledger(store, spark.createDataFrame(rows, contract.TRANSACTION_SCHEMA), AS_OF)
+    assert seen == ["transaction_id"] * batches
+    assert [r.current_inventory for r in incremental.stock(store).collect()] == [6 - batches]
+
+
 def test_a_batch_that_changes_nothing(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     batch = spark.createDataFrame([ledger_row("t", 5), ledger_row(None, 5)], contract.TRANSACTION_SCHEMA)
@@ -158,3 +185,15 @@ def test_no_scratch_is_left(spark, tmp_path):
     before = set(Path(shared_folder(spark)).iterdir())
     incremental.update(Store(spark, str(tmp_path)), date(2026, 8, 1), *frames(spark, random_batch(random.Random(1), 30)))
     assert set(Path(shared_folder(spark)).iterdir()) == before
+
+
+@pytest.mark.parametrize("name", ["publish_incremental", "snapshot_replace"])
+def test_two_policies_judge_the_inputs_once(spark, monkeypatch, name):
+    seen, own = [], plan.dedup
+    monkeypatch.setattr(plan, "dedup", lambda df, key, *more: seen.append(key) or own(df, key, *more))
+    east, west = ("PRD-1", "WH-EAST"), ("PRD-1", "WH-WEST")
+    given = make_inputs(spark, [product()], [shipment(3, "O", 5, "a", east), shipment(9, "O", 4, "b", west)], [ledger_row("t", 3, key=east)])
+    monkeypatch.setattr(queries, "inputs", lambda *_: given)
+    found = queries.QUERIES[name](spark, "").collect()
+    assert sorted(seen) == ["product_id", "shipment_id", "transaction_id"]
+    assert sorted((r.shipment_id, r.warehouse_id) for r in found) == [("a", "WH-EAST"), ("b", "WH-WEST")]
