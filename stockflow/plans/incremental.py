@@ -7,7 +7,8 @@ run over all rows ever given:
 
 * the row kept for a key is the first by a total order, so the kept row and the batch's rows are
   enough to find the next one; the index tells in which months kept rows of the batch's keys lie;
-* only months in which a kept row changes are read and written again, all others are taken over;
+* only months in which a kept row changes are read and written again; others are taken over, and
+  get their new keys as files beside their own;
 * stock changes by what changed rows take away and bring, and by the days an as-of date moves;
 * readiness is computed again for the (product, warehouse) keys whose shipments, stock or safety
   stock changed, and only the partitions that hold orders of such keys are written again.
@@ -35,7 +36,7 @@ from stockflow.operators.policies import NETTED
 from stockflow.operators.sequence import running_totals
 from stockflow.plans.readiness import readiness_from_totals
 from stockflow.session import scratch_removed, written
-from stockflow.sources.snapshots import Draft, Snapshot, Store
+from stockflow.sources.snapshots import Draft, Snapshot, Store, partition_of
 
 MONTH = "event_month"
 # the month of rows without a date, and of tables without months
@@ -87,43 +88,68 @@ def _months(*rows: DataFrame) -> set[str]:
     return {r[0] for r in together.distinct().collect()}
 
 
-def _rows_for(store: Store, kind: Kind, state: Draft, keys: DataFrame) -> DataFrame:
-    """The kept rows of the given keys (one column, `_id`)."""
-    months = None
-    if kind.day and kind.index in state.tables:
-        index = store.read(kind.index, INDEX_SCHEMA, (), state)
-        months = _months(index.join(keys, F.col("id").eqNullSafe(F.col("_id")), "left_semi"))
-    rows = kept_rows(store, kind, state, months)
-    return rows.join(keys, F.col(kind.key).eqNullSafe(F.col("_id")), "left_semi").drop(MONTH)
+def _months_of(store: Store, kind: Kind, state: Draft, batch: DataFrame) -> set[str] | None:
+    """Months that have all kept rows of the batch's keys; None where all rows have to be read.
+
+    Ids are compared by their hashes, which are narrow: equal ones can only add a month.
+    """
+    if not kind.day or kind.index not in state.tables:
+        return None
+    index = store.read(kind.index, INDEX_SCHEMA, (), state).select(F.xxhash64("id").alias("_hash"), MONTH)
+    return _months(index.join(batch.select(F.xxhash64(kind.key).alias("_hash")), "_hash", "left_semi"))
+
+
+def _first_load(store: Store, draft: Draft, kind: Kind, batch: DataFrame) -> DataFrame:
+    """`merge` without any kept rows: all that changed is the table itself."""
+    rows = dedup(batch, kind.key).withColumn(MONTH, kind.month()).hint("rebalance", F.col(MONTH))
+    draft.replace_where(kind.table, lambda path: rows.write.partitionBy(MONTH).parquet(path))
+    kept = kept_rows(store, kind, draft)
+    if kind.day:
+        index = kept.select(F.col(kind.key).alias("id"), MONTH)
+        draft.append(kind.index, lambda path: index.write.parquet(path))
+    changed = kept.select(F.col(kind.key).alias("_id"), F.struct(*kind.columns).alias("after"))
+    return changed.withColumn("before", F.lit(None).cast(changed.schema["after"].dataType))
+
+
+def _rank(row: str, kind: Kind) -> Column:
+    """What orders the rows of a key as `dedup` does: all other columns, nulls last."""
+    others = [f"{row}.{c}" for c in kind.columns if c != kind.key]
+    return F.struct(*[x for k, c in enumerate(others) for x in (F.col(c).isNull().alias(f"n{k}"), F.col(c).alias(f"c{k}"))])
 
 
 def merge(store: Store, draft: Draft, kind: Kind, batch: DataFrame) -> DataFrame:
     """Take a batch of rows into the kept rows of its table.
 
-    Returns what changed: one row per key with `before` and `after`, as a scratch table.
-    `before` is null for a new key.
+    Returns what changed: one row per key with `before` and `after`. `before` is null for a new
+    key. Months in which a kept row goes are written again; others get their new rows beside
+    the old ones.
     """
     batch = batch.select(*kind.columns)
-    first = dedup(batch, kind.key)
-    before = _rows_for(store, kind, draft, first.select(F.col(kind.key).alias("_id")))
-    after = dedup(first.unionByName(before), kind.key)
+    if kind.table not in draft.tables:
+        return _first_load(store, draft, kind, batch)
     packed = F.struct(*kind.columns)
-    old = before.select(F.col(kind.key).alias("_old"), packed.alias("before"))
-    new = after.select(F.col(kind.key).alias("_id"), packed.alias("after"))
+    kept = kept_rows(store, kind, draft, _months_of(store, kind, draft, batch))
+    old = kept.select(F.col(kind.key).alias("_old"), packed.alias("before"))
+    new = dedup(batch, kind.key).select(F.col(kind.key).alias("_id"), packed.alias("after"))
     compared = new.join(old, F.col("_id").eqNullSafe(F.col("_old")), "left").drop("_old")
-    changed = written(compared.filter(~F.col("before").eqNullSafe(F.col("after"))), f"changed-{kind.table}")
+    wins = F.col("before").isNull() | (_rank("after", kind) < _rank("before", kind))
+    changed = written(compared.filter(wins), f"changed-{kind.table}")
 
     gone = changed.filter("before IS NOT NULL").select(kind.month("before.").alias(MONTH), "_id")
+    gone = written(gone, f"gone-{kind.table}")
     come = changed.select("after.*").withColumn(MONTH, kind.month())
-    months = _months(gone, come)
-    if not months and kind.table in draft.tables:
+    worn, months = _months(gone), _months(come)
+    if not months:
         return changed
-    stays = kept_rows(store, kind, draft, months)
-    stays = stays.join(gone, F.col(kind.key).eqNullSafe(F.col("_id")) & (stays[MONTH] == gone[MONTH]), "left_anti")
-    rows = stays.unionByName(come).hint("rebalance", F.col(MONTH))
-    draft.replace_where(
-        kind.table, lambda path: rows.write.partitionBy(MONTH).parquet(path), lambda p: p[MONTH] in months
-    )
+    # kept rows are written where they are read: only new ones are gathered by month
+    rows = come.hint("rebalance", F.col(MONTH))
+    if worn:
+        stays = kept_rows(store, kind, draft, worn)
+        same = F.col(kind.key).eqNullSafe(F.col("_id")) & (stays[MONTH] == gone[MONTH])
+        rows = stays.join(gone, same, "left_anti").unionByName(rows)
+    before = store.leaves(draft.tables[kind.table])
+    folder = draft.replace(kind.table, lambda path: rows.write.partitionBy(MONTH).parquet(path))
+    draft.tables[kind.table] = [*(f for f in before if partition_of(f).get(MONTH) not in worn), *store.leaves([folder])]
     if kind.day:
         moved = ~kind.month("before.").eqNullSafe(kind.month("after.")) | F.col("before").isNull()
         index = changed.filter(moved).select(F.col("_id").alias("id"), kind.month("after.").alias(MONTH))
