@@ -11,8 +11,8 @@ its texts, and the copies are averaged. The parts are trained by expectation max
 once a round. The last round reads all training texts.
 
 Texts are scored in overlapping windows: each window scores `STRIDE` subwords and sees
-`CONTEXT` earlier ones besides; all windows of a slice go through one batch of masked
-matrix products, and each subword is scored once.
+`CONTEXT` earlier ones besides; windows go through batches of masked matrix products, and
+each subword is scored once.
 """
 
 from __future__ import annotations
@@ -81,10 +81,32 @@ def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (ends - lengths)[owner] + place * STRIDE, ends[owner]
 
 
-def _causal(model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """STRIDE x WINDOW: bias by distance, and 1 up to the query's own place, else 0."""
-    back = (np.arange(STRIDE)[:, None] + CONTEXT) - np.arange(WINDOW)[None, :]
-    return model.distance[np.clip(back, 0, WINDOW - 1)], (back >= 0).astype(np.float32)
+def laid(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each position, whether a window begins its text) with each text beginning at a multiple of STRIDE.
+
+    So all windows follow each other at one distance and can share what their places have in common.
+    """
+    number = -(-lengths // STRIDE)
+    before = np.cumsum(number) - number
+    place = np.arange(lengths.sum()) + np.repeat(before * STRIDE - (np.cumsum(lengths) - lengths), lengths)
+    lead = np.zeros(number.sum(), bool)
+    lead[before] = True
+    return place, lead
+
+
+def _over_windows(values: np.ndarray) -> np.ndarray:
+    """(windows, WINDOW, columns) of (CONTEXT + windows * STRIDE, columns): the windows overlap in memory."""
+    places, columns = values.strides
+    shape = ((len(values) - CONTEXT) // STRIDE, WINDOW, values.shape[1])
+    return np.lib.stride_tricks.as_strided(values, shape, (STRIDE * places, places, columns))
+
+
+# STRIDE x WINDOW: how far back a place lies, and 1 up to the query's own place, else 0
+_BACK = (np.arange(STRIDE)[:, None] + CONTEXT) - np.arange(WINDOW)[None, :]
+_CAUSAL = (_BACK >= 0).astype(np.float32)
+_BACK = np.clip(_BACK, 0, WINDOW - 1)
+_SCALE = np.float32(DIM**-0.5)
+_ONES = np.ones(max(PARTS, WINDOW), np.float32)
 
 
 def _exponential(values: np.ndarray) -> None:
@@ -105,86 +127,50 @@ def _raised(values: np.ndarray) -> None:
     np.divide((ONE_BITS + bits).view(np.float32), (ONE_BITS - bits).view(np.float32), out=values)
 
 
-def _add_rows(sums: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """Add each row of values to the row of sums it belongs to; rows may repeat."""
-    order = np.argsort(rows.astype(np.uint16 if len(sums) <= 1 << 16 else rows.dtype), kind="stable")
+def _row_sums(rows: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, sums of their values); rows are below `size`, values have an even number of columns."""
+    order = np.argsort(rows.astype(np.uint16 if size <= 1 << 16 else rows.dtype), kind="stable")
     ordered = rows[order]
-    heads = np.flatnonzero(np.diff(ordered, prepend=-1))
-    sums[ordered[heads]] += np.add.reduceat(values[order], heads, axis=0)
-
-
-def _mask_before(scores: np.ndarray, at: np.ndarray, first: np.ndarray, start: np.ndarray) -> None:
-    """Nothing is seen of what lies before a window's own text."""
-    lead = np.flatnonzero(first - CONTEXT < start)
-    if len(lead):
-        before = at[lead, :CONTEXT] < start[lead, None]
-        scores[lead, :, :CONTEXT] *= ~before[:, None, :]
-
-
-def _forward(model: Model, ids: np.ndarray, first: np.ndarray, end: np.ndarray, start: np.ndarray, bias: np.ndarray):
-    """All values of a batch of windows; `start` is the first position of each one's text."""
-    at = first[:, None] + np.arange(-CONTEXT, STRIDE)[None, :]
-    seen = ids[np.clip(at, 0, len(ids) - 1)]
-    x = model.embed[seen]
-    qkv = x.reshape(-1, DIM) @ model.project
-    qkv = qkv.reshape(len(first), WINDOW, 3 * DIM)
-    q, k, v = qkv[:, CONTEXT:, :DIM], qkv[:, :, DIM : 2 * DIM], qkv[:, :, 2 * DIM :]
-    scores = np.matmul(q, k.transpose(0, 2, 1))
-    scores *= np.float32(DIM**-0.5)
-    scores += bias[0]
-    _exponential(scores)
-    scores *= bias[1]
-    _mask_before(scores, at, first, start)
-    scores /= scores.sum(axis=2, keepdims=True)
-    context = np.matmul(scores, v)
-    both = np.concatenate([x[:, CONTEXT:], context], axis=2).reshape(-1, 2 * DIM)
-    h = both @ model.hidden
-    h += model.hidden_bias
+    heads = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    # two floats are added as one complex number: half as many short loops
+    pairs = np.take(values, order, axis=0).view(np.result_type(values, np.complex64))
+    return ordered[heads], np.add.reduceat(pairs, heads, axis=0).view(values.dtype)
+
+
+def _attended(q: np.ndarray, k: np.ndarray, v: np.ndarray, distance: np.ndarray, lead: np.ndarray):
+    """(shares not yet divided, 1 / their sums, what the queries see) of windows; `lead` ones see nothing before themselves."""
+    shares = np.matmul(q, k.swapaxes(1, 2))
+    shares += distance[_BACK]
+    _exponential(shares)
+    shares *= _CAUSAL
+    shares[lead, :, :CONTEXT] = 0
+    inverse = 1 / (shares.reshape(-1, WINDOW) @ _ONES[:WINDOW])[:, None]
+    seen = np.matmul(shares, v).reshape(-1, DIM)
+    seen *= inverse
+    return shares, inverse, seen
+
+
+def _mixture(h: np.ndarray, out: np.ndarray, out_bias: np.ndarray) -> np.ndarray:
+    """The mixture's weights, not yet divided by their sum; `h` becomes the hidden layer's values."""
     np.maximum(h, 0, out=h)
-    logits = h @ model.out
-    logits += model.out_bias
-    _exponential(logits)
-    return at, seen, x, q, k, v, scores, both, h, logits
+    weights = h @ out
+    flat = weights.reshape(-1, STRIDE * PARTS)
+    flat += np.tile(out_bias, STRIDE)  # a long row at a time
+    _exponential(weights)
+    return weights
 
 
 class Reader:
     """A model ready to read texts: what each subword brings to a window is computed once.
 
     Query, key, value and the current subword's share of the hidden layer depend on the id
-    alone, so they are rows of two tables. The values have a column of ones, which makes the
-    sum of a query's shares come out of the same product.
+    alone, so they are rows of one table.
     """
 
     def __init__(self, model: Model):
-        self.parts = model.parts
-        q, k, v = np.split(model.embed @ model.project, 3, axis=1)
-        own = model.embed @ model.hidden[:DIM] + model.hidden_bias
-        self.near = np.concatenate([q * np.float32(DIM**-0.5), own], axis=1)
-        self.far = np.concatenate([k, v, np.ones((len(k), 1), np.float32)], axis=1)
-        self.context, self.out, self.out_bias = model.hidden[DIM:], model.out, model.out_bias
-        self.bias, self.causal = _causal(model)
-        self.ones = np.ones(PARTS, np.float32)
-
-    def _weights(self, ids: np.ndarray, first: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """The mixture's weights at the scored places of each window, not yet divided by their sum."""
-        at = first[:, None] + np.arange(-CONTEXT, STRIDE)[None, :]
-        seen = np.take(ids, at, mode="clip")
-        far = np.take(self.far, seen, axis=0, mode="clip")
-        near = np.take(self.near, seen[:, CONTEXT:], axis=0, mode="clip")
-        scores = np.matmul(near[:, :, :DIM], far[:, :, :DIM].transpose(0, 2, 1))
-        scores += self.bias
-        _raised(scores)
-        scores *= self.causal
-        _mask_before(scores, at, first, start)
-        mixed = np.matmul(scores, far[:, :, DIM:])
-        context = mixed[:, :, :DIM] / mixed[:, :, DIM:]
-        h = np.matmul(context.reshape(-1, DIM), self.context)
-        h.reshape(len(first), STRIDE, HIDDEN)[...] += near[:, :, DIM:]
-        np.maximum(h, 0, out=h)
-        logits = h @ self.out
-        logits += self.out_bias
-        _raised(logits)
-        return logits
+        self.model, self.parts = model, model.parts
+        self.table = model.embed @ _near(model)
+        self.table[:, 3 * DIM :] += model.hidden_bias
 
     def batches(self, ids: np.ndarray, targets: np.ndarray, lengths: np.ndarray):
         """(places, targets, weights, probabilities before division) of batches of windows.
@@ -192,22 +178,32 @@ class Reader:
         The last three have a row for each scored place of each window, places beyond a text
         included; `places` has -1 there.
         """
-        first, end = windows(lengths)
-        start = np.repeat(np.cumsum(lengths) - lengths, -(-lengths // STRIDE))
-        for a in range(0, len(first), CHUNK):
-            own = slice(a, a + CHUNK)
-            weights = self._weights(ids, first[own], start[own])
-            at = first[own][:, None] + np.arange(STRIDE)[None, :]
-            goal = np.take(targets, at.reshape(-1), mode="clip")
+        model = self.model
+        place, lead = laid(lengths)
+        origin = np.full(len(lead) * STRIDE, -1)
+        origin[place] = np.arange(len(ids))
+        # CONTEXT places before the first text, which no window sees
+        stream, goals = np.zeros(CONTEXT + len(origin), np.int64), np.zeros(len(origin), np.int64)
+        stream[CONTEXT + place], goals[place] = ids, targets
+        for a in range(0, len(lead), CHUNK):
+            b = min(a + CHUNK, len(lead))
+            known = np.take(self.table, stream[a * STRIDE : CONTEXT + b * STRIDE], axis=0)
+            q = known[CONTEXT:, :DIM].reshape(b - a, STRIDE, DIM)
+            k, v = (_over_windows(known[:, c : c + DIM]) for c in (DIM, 2 * DIM))
+            _, _, seen = _attended(q, k, v, model.distance, lead[a:b])
+            h = seen @ model.hidden[DIM:]
+            h += known[CONTEXT:, 3 * DIM :]
+            weights = _mixture(h, model.out, model.out_bias)
+            goal = goals[a * STRIDE : b * STRIDE]
             top = np.einsum("ij,ij->i", weights, np.take(self.parts, goal, axis=0))
-            yield np.where(at < end[own][:, None], at, -1).reshape(-1), goal, weights, top
+            yield origin[a * STRIDE : b * STRIDE], goal, weights, top
 
     def log_probabilities(self, ids: np.ndarray, targets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each target, given the ids up to its place."""
         out = np.zeros(len(ids), np.float32)
         for places, _, weights, top in self.batches(ids, targets, lengths):
             inside = places >= 0
-            out[places[inside]] = np.log(top / (weights @ self.ones))[inside]
+            out[places[inside]] = np.log(top / (weights @ _ONES[:PARTS]))[inside]
         return out
 
 
@@ -224,12 +220,9 @@ class Expectation:
 
     def add(self, ids: np.ndarray, targets: np.ndarray, lengths: np.ndarray) -> None:
         for places, goal, weights, top in self.reader.batches(ids, targets, lengths):
-            inside = np.flatnonzero(places >= 0)
-            order = inside[np.argsort(goal[inside].astype(np.uint16 if len(self.sums) <= 1 << 16 else goal.dtype), kind="stable")]
-            weights *= (1 / top)[:, None]
-            sorted_goal = goal[order]
-            heads = np.flatnonzero(np.diff(sorted_goal, prepend=-1))
-            self.sums[sorted_goal[heads]] += np.add.reduceat(weights[order], heads, axis=0)
+            weights *= ((places >= 0) / top).astype(np.float32)[:, None]
+            rows, values = _row_sums(goal, weights, len(self.sums))
+            self.sums[rows] += values
 
     def counts(self) -> np.ndarray:
         return self.sums * self.reader.parts
@@ -239,44 +232,80 @@ def log_probabilities(model: Model, ids: np.ndarray, targets: np.ndarray, length
     return Reader(model).log_probabilities(ids, targets, lengths)
 
 
-def gradients(model: Model, ids: np.ndarray, targets: np.ndarray, first, end, start):
-    """(mean loss, gradients of the weights, expected counts (targets, responsibilities))."""
-    bias = _causal(model)
-    at, seen, x, q, k, v, attention, both, h, weights = _forward(model, ids, first, end, start, bias)
-    query = at[:, CONTEXT:]
+def _near(model: Model) -> np.ndarray:
+    """DIM x (3 DIM + HIDDEN): from a subword to its query, already scaled, key, value and share of the hidden layer."""
+    near = np.concatenate([model.project, model.hidden[:DIM]], axis=1)
+    near[:, :DIM] *= _SCALE
+    return near
+
+
+def gradients(model: Model, ids: np.ndarray, targets: np.ndarray, first, end, start, sums: np.ndarray | None = None):
+    """(mean loss, gradients of the weights) over windows; `start` is the first position of each one's text.
+
+    The weights of the parts over the probability, by target, are added to `sums`: see `Expectation`.
+    """
+    n, in_windows = max(int(np.minimum(end - first, STRIDE).sum()), 1), (len(first), STRIDE)
+    near, far = _near(model), model.hidden[DIM:]
+    at = first[:, None] + np.arange(-CONTEXT, STRIDE)
+    seen = np.take(ids, at, mode="clip").reshape(-1)
+    x = np.take(model.embed, seen, axis=0)
+    known = (x @ near).reshape(len(first), WINDOW, 3 * DIM + HIDDEN)
+    own = known[:, CONTEXT:]
+    q, k, v = own[:, :, :DIM], known[:, :, DIM : 2 * DIM], known[:, :, 2 * DIM : 3 * DIM]
+    shares, inverse, context = _attended(q, k, v, model.distance, first == start)
+    h = context @ far
+    flat = h.reshape(len(first), -1)
+    flat += np.tile(model.hidden_bias, STRIDE)
+    by_window = h.reshape(*in_windows, HIDDEN)
+    by_window += own[:, :, 3 * DIM :]
+    weights = _mixture(h, model.out, model.out_bias)
+
+    # the loss's slope by logits, n times: weight / sum - weight * part / total inside the texts
+    query = first[:, None] + np.arange(STRIDE)
     inside = (query < end[:, None]).reshape(-1)
-    n = max(int(inside.sum()), 1)
-    goal = targets[np.clip(query, 0, len(ids) - 1)].reshape(-1)
-    pi = weights / weights.sum(axis=1, keepdims=True)
-    joint = pi * model.parts[goal]
-    total = joint.sum(axis=1, keepdims=True)
-    share = joint / np.maximum(total, 1e-30)
-    loss = -float(np.log(np.maximum(total[:, 0], 1e-30))[inside].sum()) / n
-    d_logits = np.where(inside[:, None], pi - share, 0).astype(np.float32) / n
-    g = {"out": h.T @ d_logits, "out_bias": d_logits.sum(0)}
-    d_h = np.where(h > 0, d_logits @ model.out.T, 0)
-    g["hidden"], g["hidden_bias"] = both.T @ d_h, d_h.sum(0)
-    d_both = (d_h @ model.hidden.T).reshape(len(first), STRIDE, 2 * DIM)
-    d_context = d_both[:, :, DIM:]
-    d_attention = np.matmul(d_context, v.transpose(0, 2, 1))
-    d_v = np.matmul(attention.transpose(0, 2, 1), d_context)
-    d_scores = attention * (d_attention - (d_attention * attention).sum(2, keepdims=True))
-    back = np.clip((np.arange(STRIDE)[:, None] + CONTEXT) - np.arange(WINDOW)[None, :], 0, WINDOW - 1)
-    g["distance"] = np.bincount(back.ravel(), d_scores.sum(0).ravel(), WINDOW).astype(np.float32)
-    d_scores = d_scores * np.float32(DIM**-0.5)
-    d_qkv = np.zeros((len(first), WINDOW, 3 * DIM), np.float32)
-    d_qkv[:, CONTEXT:, :DIM] = np.matmul(d_scores, k)
-    d_qkv[:, :, DIM : 2 * DIM] = np.matmul(d_scores.transpose(0, 2, 1), q)
-    d_qkv[:, :, 2 * DIM :] = d_v
-    flat = d_qkv.reshape(-1, 3 * DIM)
-    g["project"] = x.reshape(-1, DIM).T @ flat
-    d_x = (flat @ model.project.T).reshape(x.shape)
-    d_x[:, CONTEXT:] += d_both[:, :, :DIM]
-    rows, place = np.unique(seen, return_inverse=True)
-    summed = np.zeros((len(rows), DIM), np.float32)
-    _add_rows(summed, place.ravel(), d_x.reshape(-1, DIM))
-    g["embed"] = (rows, summed)
-    return loss, g, (goal[inside], share[inside])
+    goal = np.take(targets, query.reshape(-1), mode="clip")
+    part = np.take(model.parts, goal, axis=0)
+    total = np.maximum(np.einsum("ij,ij->i", weights, part), np.float32(1e-30))
+    mean = (total / (weights @ _ONES[:PARTS]))[:, None]
+    loss = -float(np.log(mean[:, 0])[inside].sum()) / n
+    weights *= (inside / total)[:, None]
+    d = np.subtract(mean, part, out=part)
+    d *= weights
+    if sums is not None:
+        rows, values = _row_sums(goal, weights, len(sums))
+        sums[rows] += values
+
+    ones = _ONES[:1].repeat(len(d))
+    g = {"out": h.T @ d, "out_bias": ones @ d}
+    d_h = d @ model.out.T
+    d_h *= h > 0
+    g["hidden_bias"] = ones @ d_h
+    d_context = d_h @ far.T
+    d_context *= inverse
+    drop = np.einsum("ij,ij->i", d_context, context).reshape(*in_windows, 1)
+    d_context = d_context.reshape(*in_windows, DIM)
+    d_shares = np.matmul(d_context, v.swapaxes(1, 2))
+    d_shares -= drop
+    d_shares *= shares
+    g["distance"] = np.bincount(_BACK.ravel(), d_shares.reshape(-1, STRIDE * WINDOW).sum(0), WINDOW)
+    d_known = np.empty_like(known)
+    d_own = d_known[:, CONTEXT:]
+    # places before a window have no query and no hidden layer in it
+    d_known[:, :CONTEXT, :DIM] = 0
+    d_known[:, :CONTEXT, 3 * DIM :] = 0
+    np.matmul(d_shares, k, out=d_own[:, :, :DIM])
+    np.matmul(d_shares.swapaxes(1, 2), q, out=d_known[:, :, DIM : 2 * DIM])
+    np.matmul(shares.swapaxes(1, 2), d_context, out=d_known[:, :, 2 * DIM : 3 * DIM])
+    d_own[:, :, 3 * DIM :] = d_h.reshape(*in_windows, HIDDEN)
+    d_known = d_known.reshape(len(x), -1)
+    d_near = x.T @ d_known
+    d_near[:, :DIM] *= _SCALE
+    g["project"] = d_near[:, : 3 * DIM]
+    g["hidden"] = np.concatenate([d_near[:, 3 * DIM :], context.T @ d_h])
+    g = {name: (values / n).astype(np.float32) for name, values in g.items()}
+    rows, values = _row_sums(seen, d_known @ near.T, len(model.embed))
+    g["embed"] = (rows, values / np.float32(n))
+    return loss, g
 
 
 def parts_from(counts: np.ndarray, unigram: np.ndarray, smoothing: float) -> np.ndarray:
@@ -298,47 +327,61 @@ class Learner:
 
     def __init__(self, model: Model, rate: float = RATE, seed: int = 1):
         self.model, self.rate, self.step, self.windows = model, rate, 0, 0
-        self.weights = {k: w.copy() for k, w in model.weights().items()}
-        self.mean = {k: np.zeros_like(w) for k, w in self.weights.items()}
-        self.square = {k: np.zeros_like(w) for k, w in self.weights.items()}
+        # the weights that every window moves lie in one array, and move at once
+        self.others = np.concatenate([getattr(model, k).ravel() for k in OTHERS])
+        self.weights, at = {"embed": model.embed.copy()}, 0
+        for name in OTHERS:
+            w = getattr(model, name)
+            self.weights[name] = self.others[at : at + w.size].reshape(w.shape)
+            at += w.size
+        self.moments = {k: (np.zeros_like(w), np.zeros_like(w)) for k, w in (("embed", model.embed), ("others", self.others))}
         self.rows = np.zeros(len(model.embed), bool)
-        self.counts = np.zeros(model.parts.shape)  # doubles: single floats stop counting at 2^24
+        self.sums = np.zeros(model.parts.shape)  # doubles: single floats stop counting at 2^24
         self.draw = np.random.default_rng(seed)
 
+    @property
+    def counts(self) -> np.ndarray:
+        return self.sums * self.model.parts
+
     def read(self, ids: np.ndarray, targets: np.ndarray, lengths: np.ndarray, passes: int = 1, batch: int = BATCH) -> float:
         """Mean loss of the last pass over the texts."""
         first, end = windows(lengths)
         start = np.repeat(np.cumsum(lengths) - lengths, -(-lengths // STRIDE))
         self.windows += len(first)
+        current = replace(self.model, **self.weights)
+        sums = np.zeros(self.sums.shape, np.float32)
         for left in reversed(range(passes)):
             losses = []
             for own in np.array_split(self.draw.permutation(len(first)), max(1, len(first) // batch)):
-                current = replace(self.model, **self.weights)
-                loss, g, (goal, share) = gradients(current, ids, targets, first[own], end[own], start[own])
+                loss, g = gradients(current, ids, targets, first[own], end[own], start[own], None if left else sums)
                 losses.append(loss)
-                if not left:
-                    _add_rows(self.counts, goal, share)
                 self._move(g)
+        self.sums += sums
         return float(np.mean(losses))
 
     def _move(self, g: dict) -> None:
         self.step += 1
         # the moments start at zero in each round: the first steps are short
         speed = np.float32(self.rate * min(1.0, self.step / 50))
-        self.rows[g["embed"][0]] = True
-        for name, w in self.weights.items():
-            rows, d = g[name] if name == "embed" else (slice(None), g[name])
-            m, s = self.mean[name], self.square[name]
-            m[rows] = 0.9 * m[rows] + 0.1 * d
-            s[rows] = 0.98 * s[rows] + 0.02 * d * d
-            w[rows] -= speed * m[rows] / (np.sqrt(s[rows]) + 1e-8)
+        rows, d = g["embed"]
+        self.rows[rows] = True
+        for name, own, w, d in (("embed", rows, self.weights["embed"], d), ("others", slice(None), self.others, np.concatenate([g[k].ravel() for k in OTHERS]))):
+            mean, square = self.moments[name]
+            m, s = mean[own], square[own]
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * d
+            s *= np.float32(0.98)
+            s += np.float32(0.02) * (d * d)
+            mean[own], square[own] = m, s
+            w[own] -= speed * m / (np.sqrt(s) + np.float32(1e-8))
 
     def rows_out(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(kind, row, PARTS numbers each): moved subwords, counts, all other weights; to be summed.
 
         Weights are multiplied by the number of windows, which is the last row of its own kind.
         """
-        embed, counted = np.flatnonzero(self.rows), np.flatnonzero(self.counts.any(axis=1))
+        counts = self.counts
+        embed, counted = np.flatnonzero(self.rows), np.flatnonzero(counts.any(axis=1))
         moved = np.zeros((len(embed), PARTS))
         moved[:, :DIM] = self.weights["embed"][embed]
         moved[:, DIM] = 1
@@ -346,7 +389,7 @@ class Learner:
         other = np.append(other, np.ones(PARTS - len(other) % PARTS)).reshape(-1, PARTS)
         kind = np.repeat([0, 1, 2], [len(embed), len(counted), len(other)])
         row = np.concatenate([embed, counted, np.arange(len(other))])
-        return kind, row, np.concatenate([moved * self.windows, self.counts[counted], other * self.windows])
+        return kind, row, np.concatenate([moved * self.windows, counts[counted], other * self.windows])
 
 
 def averaged(model: Model, kind: np.ndarray, row: np.ndarray, sums: np.ndarray, unigram: np.ndarray, smoothing: float) -> Model:

@@ -57,6 +57,17 @@ _IN_WORD = tb.word_table(tb.WORD_SPACE)
 _LOWER = tb.lower_table()
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct values ascending, a place of each, which of them stands at each place)."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    head = np.ones(len(ordered), bool)
+    head[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(ordered), np.int64)
+    which[order] = np.cumsum(head) - 1
+    return ordered[head], order[head], which
+
+
 class Subwords:
     """Subword ids of words, each distinct word encoded once per task."""
 
@@ -66,27 +77,26 @@ class Subwords:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[int, int] = {}
+        self.known, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes ascending, and their words
         self.flat, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def encode(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words one after another, ids per word)."""
-        if len(self.index) > CACHED:
+        if len(self.known) > CACHED:
             self._clear()
-        values, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        known = self.index
-        number = np.array([known.get(v, -1) for v in values.tolist()], np.int64)
-        new = np.flatnonzero(number < 0)
+        values, first, place = distinct(hashes)
+        at = np.searchsorted(self.known, values)
+        new = np.flatnonzero((at == len(self.known)) | (np.append(self.known, np.uint64(0))[at] != values))
         if len(new):
             data = raw.tobytes()
             words = [data[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
             pieces = self.model.encode(words, num_threads=1)
-            number[new] = np.arange(len(known), len(known) + len(new))
-            known.update(zip(values[new].tolist(), number[new].tolist()))
+            number = np.arange(len(self.known), len(self.known) + len(new))
+            self.known, self.numbers = np.insert(self.known, at[new], values[new]), np.insert(self.numbers, at[new], number)
             sizes = np.cumsum([len(p) for p in pieces]) + self.starts[-1]
             self.flat = np.concatenate([self.flat, np.array([i for p in pieces for i in p], np.int32)])
             self.starts = np.concatenate([self.starts, sizes])
-        of = number[place]
+        of = self.numbers[np.searchsorted(self.known, values)][place]
         count = self.starts[of + 1] - self.starts[of]
         at = np.repeat(self.starts[of] - (np.cumsum(count) - count), count) + np.arange(count.sum())
         return self.flat[at], count
@@ -293,7 +303,7 @@ def _basing(frequent, denominator: float, end_count: int) -> Callable:
             for a, b in tb.slices(batch.column("text"), SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 *_, hashes, words = read_words(part.column("text"))
-                values, place = np.unique(hashes, return_inverse=True)
+                values, _, place = distinct(hashes)
                 at = np.searchsorted(keys, values)
                 at[at == len(keys)] = 0
                 hit = keys[at] == values if len(keys) else np.zeros(len(values), bool)

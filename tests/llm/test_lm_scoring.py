@@ -7,6 +7,7 @@ from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from fixtures import ODD_ROWS, clashing, frame, random_texts, words
 
@@ -211,6 +212,45 @@ def test_gradients_are_slopes(name):
     assert abs((losses[0] - losses[1]) / 2e-2 - slope) < 2e-3 + 0.05 * abs(slope)
 
 
+def test_the_slopes_come_with_the_expected_counts():
+    """Added up by target while the slopes are found: those of a pass of their own."""
+    model, draw = small_model()
+    lengths = np.array([30, 1, 100, 24, 5])
+    ids, goal = (draw.integers(0, 50, lengths.sum()).astype(np.int32) for _ in range(2))
+    first, end = attention.windows(lengths)
+    start = np.repeat(np.cumsum(lengths) - lengths, -(-lengths // attention.STRIDE))
+    sums = np.zeros(model.parts.shape, np.float32)
+    loss, _ = attention.gradients(model, ids, goal, first, end, start, sums)
+    expected = attention.Expectation(model)
+    expected.add(ids, goal, lengths)
+    assert np.allclose(sums * model.parts, expected.counts(), rtol=1e-3, atol=1e-5)
+    assert abs(loss + attention.log_probabilities(model, ids, goal, lengths).mean()) < 1e-4
+
+
+@pytest.mark.parametrize("size", [7, 1 << 17])
+def test_sums_of_rows_are_those_of_a_plain_loop(size):
+    draw = np.random.default_rng(2)
+    rows, values = draw.integers(0, size, 500), draw.standard_normal((500, 16))
+    want = np.zeros((size, 16))
+    np.add.at(want, rows, values)
+    for kind in (np.float32, np.float64):
+        found, sums = attention._row_sums(rows, values.astype(kind), size)
+        assert (found == np.unique(rows)).all() and sums.dtype == kind
+        assert np.allclose(sums, want[found], atol=1e-4)
+
+
+def test_words_have_their_own_subwords_however_many_are_kept(monkeypatch):
+    texts = pa.array(random_texts(5)[:60] + ["", "a b a"])
+    subwords = lm_scoring.Subwords(PATH)
+    want = [[p for word in words(t) for p in subwords.model.encode(word)] for t in texts.to_pylist()]
+    for kept in (1 << 20, 0):
+        monkeypatch.setattr(lm_scoring, "CACHED", kept)
+        for a in range(0, len(texts), 20):
+            *_, ids, count = lm_scoring.read_slice(texts.slice(a, 20), subwords)
+            ends = np.cumsum(count)
+            assert [ids[x:y].tolist() for x, y in zip(ends - count, ends)] == want[a : a + 20]
+
+
 def test_training_learns_what_follows_what():
     draw = np.random.default_rng(1)
     follow = draw.permutation(30)
